@@ -1,0 +1,23 @@
+"""Sums and means that do not depend on row order.
+
+Floating-point addition changes with partitioning, so two runs of one query can
+differ in the last digits and swap ranks. Adding decimals is exact: any
+partitioning gives the same total.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Six digits after the point, eighteen before: covers every measure in the model.
+EXACT = "decimal(24,6)"
+
+
+def exact_sum(column: Column) -> Column:
+    return F.sum(column.cast(EXACT)).cast("double")
+
+
+def exact_avg(column: Column) -> Column:
+    """Mean over non-null values; null when there are none."""
+    return F.try_divide(exact_sum(column), F.count(column))
