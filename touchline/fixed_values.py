@@ -180,12 +180,12 @@ Context: {context}
 Question: {question}
 Answer:"""
 
-# Markup removed before text is read aloud (pattern, replacement).
+# Markup removed before text is read aloud: characters dropped,
+# links unwrapped to their label, the dot after a number dropped.
+SPEECH_MARKS = ["*", "#"]
 SPEECH_PATTERNS = [
-    (r"\*+", ""),
-    (r"#+", ""),
     (r"\[([^\]]+)\]\([^\)]+\)", "$1"),
-    (r"(\d+)\.", "$1"),
+    (r"(?<=\p{Nd})\.", ""),
 ]
 
 # Table panels, shown column -> star column or measure.

@@ -12,8 +12,13 @@ from touchline import fixed_values as fv
 from touchline.schemas import struct
 
 
-# Every character a text trim removes, in a form Java and RE2 both accept.
-WHITE_SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+# Number formats, and the characters a text trim removes.
+INTEGER = r"^\s*[+-]?\d+\s*$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+WHITE_SPACE = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def canonical(column: Column, aliases: Mapping[str, Sequence[str]]) -> Column:
@@ -52,12 +57,19 @@ def outcome(home: Column, away: Column) -> Column:
     )
 
 
-def soft_cast(column: Column, target: str) -> Column:
-    """Cast that yields null for malformed text; decimal text truncates to int."""
-    direct = column.try_cast(target)
-    if target not in ("int", "bigint"):
-        return direct
-    return F.coalesce(direct, column.try_cast("double").try_cast(target))
+def soft_cast(column: Column, target: str, from_text: bool = True) -> Column:
+    """Cast that yields null for malformed text; decimal text truncates to int.
+
+    The text is checked first: a failed cast raises inside the JVM, which costs
+    far more than the check when much of a column is malformed.
+    """
+    if not from_text or target not in ("int", "bigint", "double"):
+        return column.try_cast(target)
+    number = F.when(column.rlike(NUMBER), column)
+    if target == "double":
+        return number.try_cast(target)
+    fraction = F.when(F.instr(column, ".") > 0, number).try_cast("double").try_cast(target)
+    return F.coalesce(F.when(column.rlike(INTEGER), column).try_cast(target), fraction)
 
 
 def coerce(df: DataFrame, schema: str | T.StructType) -> DataFrame:
@@ -71,13 +83,16 @@ def coerce(df: DataFrame, schema: str | T.StructType) -> DataFrame:
         elif actual[field.name] == field.dataType:
             column = F.col(field.name)
         else:
-            column = soft_cast(F.col(field.name), kind)
+            from_text = isinstance(actual[field.name], T.StringType)
+            column = soft_cast(F.col(field.name), kind, from_text)
         out.append(column.alias(field.name))
     return df.select(*out)
 
 
 def strip_markup(text: Column) -> Column:
     """Text without list, heading and link markup, trimmed of all white space."""
+    for mark in fv.SPEECH_MARKS:
+        text = F.replace(text, F.lit(mark), F.lit(""))
     for pattern, replacement in fv.SPEECH_PATTERNS:
-        text = F.regexp_replace(text, "(?U)" + pattern, replacement)
-    return F.regexp_replace(text, f"^{WHITE_SPACE}+|{WHITE_SPACE}+$", "")
+        text = F.regexp_replace(text, pattern, replacement)
+    return F.btrim(text, F.lit(WHITE_SPACE))

@@ -1,8 +1,8 @@
 """Sums and means that do not depend on row order.
 
 Floating-point addition changes with partitioning, so two runs of one query can
-differ in the last digits and swap ranks. Adding decimals is exact: any
-partitioning gives the same total.
+differ in the last digits and swap ranks. Here whole units and millionths are
+added as integers, which is exact in any order and stays in generated code.
 """
 
 from __future__ import annotations
@@ -10,14 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Six digits after the point, eighteen before: covers every measure in the model.
-EXACT = "decimal(24,6)"
+# Above this, or for NaN, the parts no longer fit and the plain sum is used.
+LARGEST = "1e12D"
 
 
-def exact_sum(column: Column) -> Column:
-    return F.sum(column.cast(EXACT)).cast("double")
+def exact_sum(value: str) -> Column:
+    """Sum of a numeric SQL expression, exact to six digits after the point."""
+    x = f"CAST({value} AS DOUBLE)"
+    units = f"floor({x})"
+    millionths = f"floor(({x} - floor({x})) * 1000000D + 0.5D)"
+    whole = f"CAST(sum(if(abs({x}) < {LARGEST}, {units}, 0L)) AS DECIMAL(20,0))"
+    parts = f"CAST(sum(if(abs({x}) < {LARGEST}, {millionths}, 0L)) AS DECIMAL(20,0))"
+    return F.expr(
+        f"CASE WHEN bool_and(abs({x}) < {LARGEST})"
+        f" THEN CAST({whole} + {parts} * 0.000001BD AS DOUBLE) ELSE sum({x}) END"
+    )
 
 
-def exact_avg(column: Column) -> Column:
+def exact_avg(value: str) -> Column:
     """Mean over non-null values; null when there are none."""
-    return F.try_divide(exact_sum(column), F.count(column))
+    return F.try_divide(exact_sum(value), F.expr(f"count({value})"))

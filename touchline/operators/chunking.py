@@ -7,11 +7,15 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
 
 
+# Windows cut from one block; long texts are cut in two steps because finding a
+# character position scans the text from its start.
+BLOCK_WINDOWS = 64
+
+
 def chunk_fixed(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     size: int = fv.CHUNK_SIZE, overlap: int = fv.CHUNK_OVERLAP,
@@ -22,18 +26,27 @@ def chunk_fixed(
     An empty text has no chunk.
     """
     step = size - overlap
-    last = F.floor(F.greatest(F.length(text) - 1 - overlap, F.lit(0)) / step).cast("int")
-    return (
-        df.where(F.length(text) > 0)
-        .select(doc_id, F.col(text).alias("_text"), F.explode(F.sequence(F.lit(0), last)).alias("seq"))
-        .select(
-            doc_id,
-            "seq",
-            F.substring(F.col("_text"), F.col("seq") * step + 1, F.lit(size)).alias("chunk"),
-        )
+    stride = step * BLOCK_WINDOWS
+    blocks = df.where(f"length({text}) > 0").selectExpr(
+        doc_id, f"{text} AS _text",
+        f"explode(sequence(0, {_last_window(text, stride, overlap)})) AS _block",
+    ).selectExpr(
+        doc_id, "_block", f"substring(_text, _block * {stride} + 1, {stride + overlap}) AS _part"
+    )
+    return blocks.selectExpr(
+        doc_id, "_block", "_part",
+        f"explode(sequence(0, {_last_window('_part', step, overlap)})) AS _window",
+    ).selectExpr(
+        doc_id, f"_block * {BLOCK_WINDOWS} + _window AS seq",
+        f"substring(_part, _window * {step} + 1, {size}) AS chunk",
     )
 
 
+def _last_window(text: str, step: int, overlap: int) -> str:
+    """Index of the last window that starts before the final ``overlap`` characters."""
+    return f"greatest(length({text}) - 1 - {overlap}, 0) div {step}"
+
+
 def chunk_recursive(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     size: int = fv.CHUNK_SIZE, overlap: int = fv.CHUNK_OVERLAP,

@@ -22,13 +22,13 @@ def first_by(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> Da
     ranked = _ranking(df, key, order)
     if not ranked:
         return df.distinct()
-    return _unpack(df, key, ranked, F.min(F.struct(*ranked)))
+    return _unpack(df, key, F.min(F.struct(*ranked)))
 
 
 def latest_by(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Largest row of each key by ``order``, ties broken by all other columns."""
     ranked = _ranking(df, key, order)
-    return _unpack(df, key, ranked, F.max(F.struct(*ranked)))
+    return _unpack(df, key, F.max(F.struct(*ranked)))
 
 
 def _ranking(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> list[str]:
@@ -36,7 +36,5 @@ def _ranking(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> list[st
     return [*order, *rest]
 
 
-def _unpack(df: DataFrame, key, ranked, chosen) -> DataFrame:
-    grouped = df.groupBy(*key).agg(chosen.alias("_chosen"))
-    columns = [F.col(c) if c in key else F.col(f"_chosen.{c}").alias(c) for c in df.columns]
-    return grouped.select(*columns)
+def _unpack(df: DataFrame, key, chosen) -> DataFrame:
+    return df.groupBy(*key).agg(chosen.alias("_chosen")).select(*key, "_chosen.*").select(*df.columns)

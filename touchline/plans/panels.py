@@ -61,7 +61,7 @@ def total_players(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
 
 
 def avg_rating(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
-    return _stat(shown(view, v), "Avg Performance Rating", exact_avg(F.col("performance_rating")))
+    return _stat(shown(view, v), "Avg Performance Rating", exact_avg("performance_rating"))
 
 
 def _grouped(view: DataFrame, v: Variables, key: str, value: Column) -> DataFrame:
@@ -74,7 +74,7 @@ def _ranked() -> list[Column]:
 
 
 def rating_by_position(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
-    return _grouped(view, v, "position_name", exact_avg(F.col("performance_rating"))).orderBy(*_ranked())
+    return _grouped(view, v, "position_name", exact_avg("performance_rating")).orderBy(*_ranked())
 
 
 def position_count(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
@@ -125,10 +125,10 @@ def country_table(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
     sums = {title: F.sum(c).alias(title) for title, c in fv.COUNTRY_TABLE_SUMS.items()}
     table = shown(view, v).groupBy(F.col("country_name").alias("Country")).agg(
         F.count_distinct("player_id").alias("Total Players"),
-        exact_avg(F.col("performance_rating")).alias("Avg Rating"),
+        exact_avg("performance_rating").alias("Avg Rating"),
         sums["Total Goals"],
         sums["Total Assists"],
-        exact_avg(F.col("pass_accuracy_pct")).alias("Avg Pass Accuracy %"),
+        exact_avg("pass_accuracy_pct").alias("Avg Pass Accuracy %"),
         *[c for title, c in sums.items() if title not in ("Total Goals", "Total Assists")],
         F.max("created_at").alias("Updated At"),
     )

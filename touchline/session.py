@@ -23,6 +23,10 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }
 
+# Settings fixed when a session starts: recording a call site for every
+# expression makes wide plans slow to build.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
@@ -35,6 +39,8 @@ def build_session(app: str = "touchline", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    for key, value in START_CONF.items():
+        builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return configure(builder.getOrCreate())

@@ -57,7 +57,7 @@ def envelopes(
 
 def plain_base64(content: Column) -> Column:
     """Base64 without the line breaks some encoders insert."""
-    return F.translate(F.base64(content), "\r\n", "")
+    return F.replace(F.base64(content), F.lit("\r\n"), F.lit(""))
 
 
 def done_message(spark: SparkSession, ts_ms: int) -> DataFrame:

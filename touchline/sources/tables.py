@@ -13,9 +13,25 @@ from touchline.functions.cleaning import coerce
 from touchline.schemas import struct
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Parquet table; column pruning and filters reach the scan."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """Parquet table; column pruning and filters reach the scan.
+
+    With a declared schema no file is opened to build the plan.
+    """
+    reader = spark.read.schema(struct(schema)) if schema else spark.read
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a scan over all cores, when its files make fewer tasks than that.
+
+    For costly per-row work on a small input. A large input has enough splits
+    and passes through unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

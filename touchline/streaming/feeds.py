@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -60,10 +60,9 @@ def file_feed(spark: SparkSession, folder: str, max_files: int | None = None) ->
     return reader.text(folder).select("value", arrival.alias("position"))
 
 
-def table_feed(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
+def table_feed(spark: SparkSession, folder: str, table: str, schema: str, max_files: int | None = None) -> DataFrame:
     """Parquet table read as a stream of its files."""
-    static = spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
-    reader = spark.readStream.schema(static.schema).option("pathGlobFilter", f"{table}.parquet")
+    reader = spark.readStream.schema(struct(schema)).option("pathGlobFilter", f"{table}.parquet")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(folder)
@@ -91,21 +90,23 @@ def decode_envelopes(messages: DataFrame) -> DataFrame:
     Rejected are broken JSON, a missing or empty path or content, and content
     that is not base64.
     """
-    parsed = messages.withColumn("_m", F.from_json("value", fv.ENVELOPE_SCHEMA))
-    content = F.try_to_binary(F.col("_m.content_b64"), F.lit("base64"))
-    is_file = (
-        (F.length("_m.rel_path") > 0) & (F.length("_m.content_b64") > 0) & content.isNotNull()
-    )
-    return parsed.select(
-        "_m.rel_path", "_m.filename", "_m.content_type", "_m.ts_ms",
-        content.alias("content"),
-        F.when(F.col("_m.type") == fv.DONE_TYPE, "done")
-        .when(is_file, "file")
-        .otherwise("rejected")
-        .alias("status"),
-        *[c for c in messages.columns if c == "position"],
-        "value",
-    )
+    carried = [c for c in messages.columns if c in ("value", "position")]
+    parsed = messages.select(*carried, once(F.from_json("value", fv.ENVELOPE_SCHEMA)))
+    content = F.try_to_binary("content_b64", F.lit("base64"))
+    decoded = parsed.select("*", once(F.struct(content.alias("content"))))
+    is_file = (F.length("rel_path") > 0) & (F.length("content_b64") > 0) & F.col("content").isNotNull()
+    return decoded.withColumn(
+        "status", F.when(F.col("type") == fv.DONE_TYPE, "done").when(is_file, "file").otherwise("rejected")
+    ).drop("content_b64", "type")
+
+
+def once(struct: Column) -> Column:
+    """Fields of a costly struct as columns, computed one time per row.
+
+    Filters on the fields stay above the generator; pushed below a projection
+    they would repeat the parsing or decoding for every condition.
+    """
+    return F.inline(F.array(struct))
 
 
 def accepted_files(decoded: DataFrame) -> DataFrame:

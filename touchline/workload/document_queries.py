@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from touchline import fixed_values as fv
 from touchline.operators import chunking, embedding, retrieval
 from touchline.operators.neighbours import nearest
-from touchline.sources.tables import read_table
 from touchline.workload.registry import query
+from touchline.workload.tables import read_spread, read_table
 
 
 def _chunks(spark, sf):
-    return chunking.chunk_fixed(read_table(spark, sf, "documents"))
+    return chunking.chunk_fixed(read_spread(spark, sf, "documents", "doc_id"))
 
 
 CHUNKS_SQL = """
@@ -42,7 +42,7 @@ def chunk_fixed(spark, sf):
 
 @query()
 def chunk_recursive(spark, sf):
-    return chunking.chunk_recursive(read_table(spark, sf, "documents"))
+    return chunking.chunk_recursive(read_spread(spark, sf, "documents", "doc_id"))
 
 
 @query(f"""
@@ -74,7 +74,7 @@ QUALIFY rank <= 4
 """)
 def knn_topk(spark, sf):
     """The four vectors nearest to the centre of each topic, over all vectors."""
-    vectors = read_table(spark, sf, "embeddings")
+    vectors = read_spread(spark, sf, "embeddings", "vec_id")
     centres = (
         vectors.select(F.col("label").alias("topic"), array_to_vector("embedding").alias("v"))
         .groupBy("topic")
@@ -134,7 +134,7 @@ WITH {CHUNKS_SQL} SELECT * FROM chunks WHERE doc_id NOT IN (SELECT doc_id FROM l
 """)
 def incremental_chunks(spark, sf):
     """Chunks of the documents that are new to a collection."""
-    return retrieval.incremental_chunks(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+    return retrieval.incremental_chunks(read_spread(spark, sf, "documents", "doc_id"), read_table(spark, sf, "labels"))
 
 
 @query("""

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.sources import files
-from touchline.sources.tables import read_table
 from touchline.streaming import feeds
 from touchline.session import scratch_path
 from touchline.workload.registry import query
+from touchline.workload.tables import SCHEMAS, read_spread
 
 
 def _document_messages(documents: DataFrame, rel_path) -> DataFrame:
@@ -27,7 +27,7 @@ def stream_decode(spark, sf):
     path = F.when(
         F.col("lang") != "en", F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     )
-    decoded = feeds.decode_envelopes(_document_messages(read_table(spark, sf, "documents"), path))
+    decoded = feeds.decode_envelopes(_document_messages(read_spread(spark, sf, "documents", "doc_id"), path))
     return feeds.accepted_files(decoded).select(
         "rel_path", "filename", "ts_ms",
         F.octet_length("content").cast("bigint").alias("n_bytes"),
@@ -42,7 +42,7 @@ QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY doc_id DESC) = 1
 """)
 def stream_envelopes(spark, sf):
     """Messages drained as a stream into a table that keeps the last version of a path."""
-    stream = feeds.table_feed(spark, sf, "documents")
+    stream = feeds.table_feed(spark, sf, "documents", SCHEMAS["documents"])
     decoded = feeds.accepted_files(
         feeds.decode_envelopes(_document_messages(stream, F.concat_ws("/", "lang", "source")))
     )
@@ -59,7 +59,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY events.ts DESC, event_i
 """)
 def stream_latest_wins(spark, sf):
     """The streaming form of ``latest_wins``."""
-    stream = feeds.table_feed(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "ts")
+    stream = feeds.table_feed(spark, sf, "events", SCHEMAS["events"]).select("user_id", "event_id", "event_type", "value", "ts")
     table = scratch_path(spark, "stream_latest_wins")
     key, order = ["user_id"], ["ts", "event_id"]
     feeds.upsert_feed(stream, key, order, f"{table}/log", f"{table}/offsets", timeout_s=None)
@@ -93,7 +93,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY e.ts DESC)
 def stream_player_events(spark, sf):
     """Player events drained as a stream; the latest clean row of each player."""
     table = scratch_path(spark, "stream_player_events")
-    stream = _player_messages(feeds.table_feed(spark, sf, "events"))
+    stream = _player_messages(feeds.table_feed(spark, sf, "events", SCHEMAS["events"]))
     players = feeds.current_players(stream, f"{table}/log", f"{table}/offsets", timeout_s=None)
     return players.select(
         "Player_Name", "Country", "Age", "Position", "Goals", "Assists", "Minutes_Played",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.numeric import exact_sum
 from touchline.plans import performance
-from touchline.sources.tables import read_table
+from touchline.workload.tables import read_table
 
 RUN_TS_TEXT = "2025-01-18 00:00:00"
 DAY_TIME = "yyyy-MM-dd HH:mm:ss"
@@ -22,52 +22,58 @@ def run_ts() -> Column:
     return F.lit(RUN_TS_TEXT).cast("timestamp")
 
 
-def _count(condition: Column) -> Column:
+def _exact(**columns: str) -> list[Column]:
+    return [exact_sum(value).alias(name) for name, value in columns.items()]
+
+
+def _agg(**columns: str) -> list[Column]:
+    return [F.expr(value).alias(name) for name, value in columns.items()]
+
+
+def _some(condition: str) -> str:
     """Count, null when nothing was counted."""
-    n = F.count_if(condition).cast("int")
-    return F.when(n > 0, n)
+    return f"CAST(nullif(count_if({condition}), 0) AS INT)"
 
 
 def players_raw(spark: SparkSession, sf: str) -> DataFrame:
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-    price = F.col("o_totalprice")
     stats = read_table(spark, sf, "orders").groupBy("o_custkey").agg(
-        _count(priority == "1-URGENT").alias("Goals"),
-        _count(priority == "2-HIGH").alias("Assists"),
-        exact_sum(F.when(status == "F", price)).alias("played"),
-        _count(status == "F").alias("Matches_Played"),
-        F.max(price).alias("largest"),
-        F.min(price).alias("smallest"),
-        exact_sum(F.when(status == "O", price)).alias("open"),
-        _count(priority == "3-MEDIUM").alias("Tackles"),
-        _count(priority == "4-NOT SPECIFIED").alias("Interceptions"),
-        _count(priority == "5-LOW").alias("Saves"),
-        _count(status == "O").alias("Clean_Sheets"),
-        _count(status == "P").alias("Yellow_Cards"),
-        _count((status == "F") & (priority == "1-URGENT")).alias("Red_Cards"),
+        *_agg(
+            Goals=_some("o_orderpriority = '1-URGENT'"),
+            Assists=_some("o_orderpriority = '2-HIGH'"),
+            Tackles=_some("o_orderpriority = '3-MEDIUM'"),
+            Interceptions=_some("o_orderpriority = '4-NOT SPECIFIED'"),
+            Saves=_some("o_orderpriority = '5-LOW'"),
+            Matches_Played=_some("o_orderstatus = 'F'"),
+            Clean_Sheets=_some("o_orderstatus = 'O'"),
+            Yellow_Cards=_some("o_orderstatus = 'P'"),
+            Red_Cards=_some("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"),
+            largest="max(o_totalprice)",
+            smallest="min(o_totalprice)",
+        ),
+        *_exact(
+            played="if(o_orderstatus = 'F', o_totalprice, NULL)",
+            open="if(o_orderstatus = 'O', o_totalprice, NULL)",
+        ),
     )
     customer = read_table(spark, sf, "customer")
-    nation = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
-    segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
-    age = (F.col("c_custkey") % 25 + 16).cast("int")
     return (
-        customer.join(stats, customer.c_custkey == stats.o_custkey, "left")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_name").alias("Player_Name"),
-            F.col("n_name").alias("Country"),
-            F.when(age < 40, age).alias("Age"),
-            F.when(segment == "AUTOMOBILE", "FW").when(segment == "BUILDING", "Midfielder")
-            .when(segment == "FURNITURE", "DF").when(segment == "HOUSEHOLD", "Goalkeeper")
-            .when(balance >= 0, segment).alias("Position"),
+        customer.join(stats, F.expr("c_custkey = o_custkey"), "left")
+        .join(read_table(spark, sf, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            "c_name AS Player_Name",
+            "n_name AS Country",
+            "CAST(nullif(c_custkey % 25 + 16, 40) AS INT) AS Age",
+            """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'FW' WHEN 'BUILDING' THEN 'Midfielder'
+               WHEN 'FURNITURE' THEN 'DF' WHEN 'HOUSEHOLD' THEN 'Goalkeeper'
+               ELSE if(c_acctbal >= 0, c_mktsegment, NULL) END AS Position""",
             "Goals", "Assists",
-            F.floor(F.col("played") / 10000).cast("int").alias("Minutes_Played"),
+            "CAST(floor(played / 10000) AS INT) AS Minutes_Played",
             "Matches_Played",
-            (F.floor(F.col("largest") / 500).cast("double") / 10).alias("Pass_Accuracy"),
-            (F.floor(F.col("smallest") / 1000).cast("double") / 10).alias("Distance_Run_km"),
-            (F.floor(F.col("open") / 100000).cast("double") / 10).alias("Sprint_Speed_kmh"),
+            "floor(largest / 500) / 10 AS Pass_Accuracy",
+            "floor(smallest / 1000) / 10 AS Distance_Run_km",
+            "floor(open / 100000) / 10 AS Sprint_Speed_kmh",
             "Tackles", "Interceptions", "Saves", "Clean_Sheets", "Yellow_Cards", "Red_Cards",
-            (F.floor((balance + 1000) / 110).cast("double") / 10).alias("Performance_Rating"),
+            "floor((c_acctbal + 1000) / 110) / 10 AS Performance_Rating",
         )
     )
 
@@ -81,188 +87,154 @@ def view(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _line_stats(spark: SparkSession, sf: str) -> DataFrame:
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     return read_table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.min("l_suppkey").alias("home_key"),
-        F.max("l_suppkey").alias("away_key"),
-        F.min("l_partkey").alias("part_key"),
-        F.min("l_shipdate").alias("shipped"),
-        F.count(F.lit(1)).alias("lines"),
-        exact_sum(F.col("l_quantity")).alias("qty"),
-        exact_sum(F.col("l_extendedprice")).alias("price"),
-        exact_sum(F.col("l_discount")).alias("disc"),
-        exact_sum(F.col("l_tax")).alias("tax"),
-        F.count_if(flag == "A").alias("a"),
-        F.count_if(flag == "R").alias("r"),
-        F.count_if(flag == "N").alias("n"),
-        F.count_if((flag == "A") & (status == "O")).alias("ao"),
-        F.count_if((flag == "R") & (status == "O")).alias("ro"),
-        F.count_if((flag == "A") & (status == "F")).alias("af"),
-        F.count_if((flag == "R") & (status == "F")).alias("rf"),
-        F.count_if(F.col("l_linenumber") == 1).alias("first"),
-        F.count_if(F.col("l_linenumber") == 7).alias("seventh"),
+        *_agg(
+            home_key="min(l_suppkey)",
+            away_key="max(l_suppkey)",
+            part_key="min(l_partkey)",
+            shipped="min(l_shipdate)",
+            lines="count(1)",
+            a="count_if(l_returnflag = 'A')",
+            r="count_if(l_returnflag = 'R')",
+            n="count_if(l_returnflag = 'N')",
+            ao="count_if(l_returnflag = 'A' AND l_linestatus = 'O')",
+            ro="count_if(l_returnflag = 'R' AND l_linestatus = 'O')",
+            af="count_if(l_returnflag = 'A' AND l_linestatus = 'F')",
+            rf="count_if(l_returnflag = 'R' AND l_linestatus = 'F')",
+            first_line="count_if(l_linenumber = 1)",
+            seventh="count_if(l_linenumber = 7)",
+        ),
+        *_exact(qty="l_quantity", price="l_extendedprice", disc="l_discount", tax="l_tax"),
     )
 
 
 def _places(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "part").select(
-        F.col("p_partkey").alias("part_key"), F.col("p_brand").alias("stadium"), F.col("p_type").alias("city")
-    )
+    return read_table(spark, sf, "part").selectExpr("p_partkey AS part_key", "p_brand AS stadium", "p_type AS city")
 
 
 def matches_raw(spark: SparkSession, sf: str) -> DataFrame:
-    orders, lines = read_table(spark, sf, "orders"), _line_stats(spark, sf)
-    team = read_table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    home = team.select(F.col("s_suppkey").alias("home_key"), F.col("s_name").alias("home_team"))
-    away = team.select(F.col("s_suppkey").alias("away_key"), F.col("s_name").alias("away_team"))
-    two_sides = lines.withColumn("away_key", F.nullif("away_key", "home_key"))
-    postponed = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
+    team = read_table(spark, sf, "supplier")
     return (
-        orders.join(two_sides, orders.o_orderkey == two_sides.l_orderkey, "left")
+        read_table(spark, sf, "orders")
+        .join(_line_stats(spark, sf), F.expr("o_orderkey = l_orderkey"), "left")
+        .withColumn("away_key", F.expr("nullif(away_key, home_key)"))
         .join(_places(spark, sf), "part_key", "left")
-        .join(home, "home_key", "left")
-        .join(away, "away_key", "left")
-        .select(
-            F.col("o_orderkey").cast("string").alias("match_id"),
-            F.when(postponed, "postponed").otherwise(F.date_format("o_orderdate", DAY_TIME)).alias("match_date_utc"),
-            F.col("o_orderstatus").alias("stage"),
-            F.col("o_orderpriority").alias("group_id"),
-            "stadium", "city",
-            F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("referee"),
-            "home_team", "away_team",
-            F.col("a").alias("home_goals"), F.col("r").alias("away_goals"),
-            F.col("disc").alias("home_xg"), F.col("tax").alias("away_xg"),
-            (F.col("ao") * 100.0 / F.col("lines")).alias("possession_home_pct"),
-            F.col("n").alias("shots_home"), F.col("lines").alias("shots_away"),
-            F.col("ao").alias("shots_on_target_home"), F.col("ro").alias("shots_on_target_away"),
-            F.col("af").alias("cards_yellow_home"), F.col("rf").alias("cards_yellow_away"),
-            F.col("first").alias("cards_red_home"), F.col("seventh").alias("cards_red_away"),
-            F.col("qty").alias("attendance"),
+        .join(team.selectExpr("s_suppkey AS home_key", "s_name AS home_team"), "home_key", "left")
+        .join(team.selectExpr("s_suppkey AS away_key", "s_name AS away_team"), "away_key", "left")
+        .selectExpr(
+            "CAST(o_orderkey AS STRING) AS match_id",
+            f"""if(o_orderstatus = 'P' AND o_orderpriority = '5-LOW', 'postponed',
+                date_format(o_orderdate, '{DAY_TIME}')) AS match_date_utc""",
+            "o_orderstatus AS stage", "o_orderpriority AS group_id", "stadium", "city",
+            "nullif(o_orderpriority, '5-LOW') AS referee", "home_team", "away_team",
+            "a AS home_goals", "r AS away_goals", "disc AS home_xg", "tax AS away_xg",
+            "ao * 100.0D / lines AS possession_home_pct",
+            "n AS shots_home", "lines AS shots_away",
+            "ao AS shots_on_target_home", "ro AS shots_on_target_away",
+            "af AS cards_yellow_home", "rf AS cards_yellow_away",
+            "first_line AS cards_red_home", "seventh AS cards_red_away",
+            "qty AS attendance",
         )
     )
 
 
 def attendance_raw(spark: SparkSession, sf: str) -> DataFrame:
-    seats = F.col("lines") * 50
-    return _line_stats(spark, sf).join(_places(spark, sf), "part_key", "left").select(
-        F.col("l_orderkey").cast("string").alias("match_id"),
-        F.date_format("shipped", DAY_TIME).alias("match_date_utc"),
+    return _line_stats(spark, sf).join(_places(spark, sf), "part_key", "left").selectExpr(
+        "CAST(l_orderkey AS STRING) AS match_id",
+        f"date_format(shipped, '{DAY_TIME}') AS match_date_utc",
         "stadium", "city",
-        seats.alias("capacity"),
-        F.col("qty").alias("attendance"),
-        (F.col("qty") * 100.0 / seats).alias("occupancy_pct"),
-        (F.col("price") / F.col("qty")).alias("ticket_price_avg_usd"),
-        F.col("price").alias("ticket_revenue_usd"),
-        F.col("disc").alias("hospitality_revenue_usd"),
-        F.col("tax").alias("concession_spend_per_capita_usd"),
-        (F.col("tax") * F.col("qty")).alias("concession_revenue_usd"),
-        F.col("r").alias("security_incidents_count"),
-        F.col("n").alias("transport_disruption_minutes"),
-        (F.col("price") / (F.col("lines") * 10000.0)).alias("fan_satisfaction_score"),
+        "lines * 50 AS capacity",
+        "qty AS attendance",
+        "qty * 100.0D / (lines * 50) AS occupancy_pct",
+        "price / qty AS ticket_price_avg_usd",
+        "price AS ticket_revenue_usd",
+        "disc AS hospitality_revenue_usd",
+        "tax AS concession_spend_per_capita_usd",
+        "tax * qty AS concession_revenue_usd",
+        "r AS security_incidents_count",
+        "n AS transport_disruption_minutes",
+        "price / (lines * 10000.0D) AS fan_satisfaction_score",
     )
 
 
 def team_kpis_raw(spark: SparkSession, sf: str) -> DataFrame:
-    flag = F.col("l_returnflag")
     months = read_table(spark, sf, "lineitem").groupBy(
-        "l_suppkey", F.last_day(F.to_date("l_shipdate")).alias("asof")
+        "l_suppkey", F.expr("last_day(l_shipdate)").alias("asof")
     ).agg(
-        F.count(F.lit(1)).alias("played"),
-        F.count_if(flag == "A").alias("a"),
-        F.count_if(flag == "R").alias("r"),
-        F.count_if(flag == "N").alias("n"),
-        exact_sum(F.col("l_quantity")).alias("qty"),
-        exact_sum(F.col("l_extendedprice")).alias("price"),
-        exact_sum(F.col("l_discount")).alias("disc"),
-        exact_sum(F.col("l_tax")).alias("tax"),
-        F.max("l_discount").alias("top"),
-        F.count_if(F.col("l_linenumber") == 7).alias("seventh"),
+        *_agg(
+            played="count(1)",
+            a="count_if(l_returnflag = 'A')",
+            r="count_if(l_returnflag = 'R')",
+            n="count_if(l_returnflag = 'N')",
+            top="max(l_discount)",
+            seventh="count_if(l_linenumber = 7)",
+        ),
+        *_exact(qty="l_quantity", price="l_extendedprice", disc="l_discount", tax="l_tax"),
     )
-    team = read_table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
-    played = F.col("played")
     return (
-        months.join(team, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_name").alias("team"), F.col("n_name").alias("group_id"),
-            F.when(F.month("asof") <= 6, "Group").otherwise("Knockout").alias("stage"),
-            F.date_format("asof", "yyyy-MM-dd").alias("asof_date"),
-            "played",
-            (F.col("a") * 3 + F.col("n")).alias("points"),
-            F.col("a").alias("goals_for"), F.col("r").alias("goals_against"),
-            (F.col("a") - F.col("r")).alias("goal_diff"),
-            F.col("disc").alias("xg_for"), F.col("tax").alias("xg_against"),
-            (F.col("qty") / played).alias("shots_pg"),
-            (F.col("a") / played).alias("shots_on_target_pg"),
-            (F.col("disc") * 100.0 / played).alias("pass_accuracy_pct"),
-            (F.col("tax") * 100.0 / played).alias("possession_pct"),
-            (F.col("price") / F.col("qty")).alias("pressing_ppda"),
-            (F.col("a") * 100.0 / played).alias("duels_won_pct"),
-            (F.col("top") + 0.0).alias("set_piece_xg"),
-            (F.col("price") / 1000.0).alias("total_distance_km"),
-            F.col("seventh").alias("injuries_reported"),
+        months.join(read_table(spark, sf, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(read_table(spark, sf, "nation"), F.expr("s_nationkey = n_nationkey"))
+        .selectExpr(
+            "s_name AS team", "n_name AS group_id",
+            "if(month(asof) <= 6, 'Group', 'Knockout') AS stage",
+            "date_format(asof, 'yyyy-MM-dd') AS asof_date",
+            "played", "a * 3 + n AS points", "a AS goals_for", "r AS goals_against", "a - r AS goal_diff",
+            "disc AS xg_for", "tax AS xg_against",
+            "qty / played AS shots_pg", "a / played AS shots_on_target_pg",
+            "disc * 100.0D / played AS pass_accuracy_pct", "tax * 100.0D / played AS possession_pct",
+            "price / qty AS pressing_ppda", "a * 100.0D / played AS duels_won_pct",
+            "top + 0.0D AS set_piece_xg", "price / 1000.0D AS total_distance_km",
+            "seventh AS injuries_reported",
         )
     )
 
 
 def marketing_raw(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    return read_table(spark, sf, "events").select(
-        F.date_format("ts", DAY_TIME).alias("date_utc"),
-        F.col("event_type").alias("channel"),
-        F.when(k < 80, F.concat(F.lit("campaign-"), k.cast("string"))).alias("campaign"),
-        F.when(F.col("value") >= 10, "spend").otherwise("reach").alias("metric"),
-        F.concat(F.lit("region-"), (F.col("user_id") % 10).cast("string")).alias("region"),
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    return read_table(spark, sf, "events").selectExpr(
+        f"date_format(ts, '{DAY_TIME}') AS date_utc",
+        "event_type AS channel",
+        f"if({k} < 80, concat('campaign-', {k}), NULL) AS campaign",
+        "if(value >= 10, 'spend', 'reach') AS metric",
+        "concat('region-', user_id % 10) AS region",
         "value",
-        F.lit("usd").alias("unit"),
+        "'usd' AS unit",
     )
 
 
 def player_match_raw(spark: SparkSession, sf: str) -> DataFrame:
-    part = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    team = read_table(spark, sf, "supplier").select("s_suppkey", "s_name")
     return (
         read_table(spark, sf, "lineitem")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(team, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.col("l_orderkey").cast("string").alias("match_id"),
-            F.date_format("l_shipdate", DAY_TIME).alias("match_date_utc"),
-            F.col("p_name").alias("player_name"), F.col("s_name").alias("team"),
-            F.col("p_type").alias("position"),
-            F.col("l_quantity").alias("minutes"),
-            (F.col("l_returnflag") == "A").cast("int").alias("goals"),
-            (F.col("l_returnflag") == "R").cast("int").alias("assists"),
-            F.col("l_linenumber").alias("shots"),
-            (F.col("l_linenumber") % 3).alias("shots_on_target"),
-            (F.col("l_linestatus") == "O").cast("int").alias("key_passes"),
-            F.col("p_size").alias("passes_completed"),
-            F.floor(F.col("l_extendedprice") / 10000).alias("dribbles_completed"),
-            F.floor(F.col("l_discount") * 100).alias("tackles"),
-            F.floor(F.col("l_tax") * 100).alias("interceptions"),
-            (F.col("l_discount") + 0.0).alias("xg"),
-            (F.col("l_tax") + 0.0).alias("xa"),
+        .join(read_table(spark, sf, "part"), F.expr("l_partkey = p_partkey"))
+        .join(read_table(spark, sf, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .selectExpr(
+            "CAST(l_orderkey AS STRING) AS match_id",
+            f"date_format(l_shipdate, '{DAY_TIME}') AS match_date_utc",
+            "p_name AS player_name", "s_name AS team", "p_type AS position",
+            "l_quantity AS minutes",
+            "CAST(l_returnflag = 'A' AS INT) AS goals", "CAST(l_returnflag = 'R' AS INT) AS assists",
+            "l_linenumber AS shots", "l_linenumber % 3 AS shots_on_target",
+            "CAST(l_linestatus = 'O' AS INT) AS key_passes",
+            "p_size AS passes_completed",
+            "floor(l_extendedprice / 10000) AS dribbles_completed",
+            "floor(l_discount * 100) AS tackles", "floor(l_tax * 100) AS interceptions",
+            "l_discount + 0.0D AS xg", "l_tax + 0.0D AS xa",
         )
     )
 
 
 def standings_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "supplier").select(
-        F.col("s_name").alias("team"),
-        (F.col("s_nationkey") + 1).cast("string").alias("pos"),
-        F.lit("3").alias("played"),
-        F.floor(F.col("s_acctbal") / 1000).cast("string").alias("points"),
+    return read_table(spark, sf, "supplier").selectExpr(
+        "s_name AS team", "CAST(s_nationkey + 1 AS STRING) AS pos", "'3' AS played",
+        "CAST(floor(s_acctbal / 1000) AS STRING) AS points",
     )
 
 
 def snapshot_raw(spark: SparkSession, sf: str) -> DataFrame:
     return player_match_raw(spark, sf).groupBy("player_name", "team").agg(
-        F.min("position").alias("position"),
-        F.sum("goals").alias("goals"),
-        F.sum("assists").alias("assists"),
-        F.sum(F.col("goals") + F.col("assists")).alias("goal_involvements"),
-        exact_sum(F.col("minutes")).alias("minutes_played"),
+        *_agg(position="min(position)", goals="sum(goals)", assists="sum(assists)",
+              goal_involvements="sum(goals + assists)"),
+        *_exact(minutes_played="minutes"),
     )
 
 
@@ -282,7 +254,7 @@ def key(*columns: str) -> str:
     return f"sha256(concat_ws('|', {parts}))"
 
 
-def _some(condition: str) -> str:
+def _some_sql(condition: str) -> str:
     return f"nullif(count(*) FILTER (WHERE {condition}), 0)::INT"
 
 
@@ -291,18 +263,18 @@ _COUNT = "count(*) FILTER (WHERE {})"
 PLAYERS_SQL = f"""
 player_stats AS (
   SELECT o_custkey,
-    {_some("o_orderpriority = '1-URGENT'")} AS goals,
-    {_some("o_orderpriority = '2-HIGH'")} AS assists,
+    {_some_sql("o_orderpriority = '1-URGENT'")} AS goals,
+    {_some_sql("o_orderpriority = '2-HIGH'")} AS assists,
     {exact("CASE WHEN o_orderstatus = 'F' THEN o_totalprice END")} AS played,
-    {_some("o_orderstatus = 'F'")} AS matches,
+    {_some_sql("o_orderstatus = 'F'")} AS matches,
     max(o_totalprice) AS largest, min(o_totalprice) AS smallest,
     {exact("CASE WHEN o_orderstatus = 'O' THEN o_totalprice END")} AS open_price,
-    {_some("o_orderpriority = '3-MEDIUM'")} AS tackles,
-    {_some("o_orderpriority = '4-NOT SPECIFIED'")} AS interceptions,
-    {_some("o_orderpriority = '5-LOW'")} AS saves,
-    {_some("o_orderstatus = 'O'")} AS clean_sheets,
-    {_some("o_orderstatus = 'P'")} AS yellow_cards,
-    {_some("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")} AS red_cards
+    {_some_sql("o_orderpriority = '3-MEDIUM'")} AS tackles,
+    {_some_sql("o_orderpriority = '4-NOT SPECIFIED'")} AS interceptions,
+    {_some_sql("o_orderpriority = '5-LOW'")} AS saves,
+    {_some_sql("o_orderstatus = 'O'")} AS clean_sheets,
+    {_some_sql("o_orderstatus = 'P'")} AS yellow_cards,
+    {_some_sql("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")} AS red_cards
   FROM orders GROUP BY o_custkey
 ),
 players_raw AS (

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.plans import gold
-from touchline.sources.tables import read_table
 from touchline.workload import frames
 from touchline.workload.frames import ATTENDANCE_SQL, KPIS_SQL, MARKETING_SQL, MATCHES_SQL, PLAYER_MATCH_SQL, key
 from touchline.workload.registry import query
+from touchline.workload.tables import read_table
 
 _STADIUM_KEY = f"CASE WHEN stadium IS NOT NULL AND city IS NOT NULL THEN {key('stadium', 'city')} END"
 _DATE_ID = "strftime({}, '%Y%m%d')::INT"

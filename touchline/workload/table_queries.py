@@ -10,10 +10,11 @@ from touchline.functions.numeric import exact_sum
 from touchline.operators import bands, dedup, quality, reconcile, topk
 from touchline.plans import performance
 from touchline.sources import files
-from touchline.sources.tables import read_parquet_optional, read_table
+from touchline.sources.tables import read_parquet_optional
 from touchline.workload import frames
 from touchline.workload.frames import exact, key
 from touchline.workload.registry import query
+from touchline.workload.tables import read_spread, read_table
 
 REGION_SCHEMA = "r_regionkey INT, r_name STRING"
 
@@ -53,7 +54,7 @@ SELECT source || '/' || doc_id || '.txt' AS key,
 FROM documents
 """)
 def file_envelope(spark, sf):
-    docs = read_table(spark, sf, "documents")
+    docs = read_spread(spark, sf, "documents", "doc_id")
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
     return files.envelopes(
         docs, F.encode("text", "UTF-8"), F.lit(1737158400000) + F.col("doc_id"),
@@ -250,7 +251,7 @@ FROM events
 def coerce_types(spark, sf):
     """Text to numbers: fractions truncate, malformed text and missing columns are null."""
     k = F.get_json_object("props", "$.k")
-    texts = read_table(spark, sf, "events").select(
+    texts = read_spread(spark, sf, "events", "event_id").select(
         "event_id", k.alias("k"), k.alias("ratio"),
         F.col("value").cast("string").alias("whole"), F.col("event_type").alias("wrong"),
     )
@@ -297,7 +298,7 @@ SELECT 'document' AS kind, doc_id AS id, 0 AS turn, {_MARKUP_SQL} AS speech FROM
 UNION ALL SELECT 'chat', conv_id, turn, {_MARKUP_SQL} FROM conversations
 """)
 def clean_markdown(spark, sf):
-    docs = read_table(spark, sf, "documents").select(
+    docs = read_spread(spark, sf, "documents", "doc_id").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text"
     )
     chats = read_table(spark, sf, "conversations").select(
@@ -388,7 +389,7 @@ def role_playing_dim(spark, sf):
         .join(read_table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read_table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("c_nationkey", "s_nationkey")
-        .agg(F.count(F.lit(1)).alias("lines"), exact_sum(F.col("l_extendedprice")).alias("volume"))
+        .agg(F.count(F.lit(1)).alias("lines"), exact_sum("l_extendedprice").alias("volume"))
     )
     return volume.join(buyer, "c_nationkey").join(seller, "s_nationkey").select(
         "buyer_nation", "seller_nation", "lines", "volume"
@@ -408,7 +409,7 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (
 """)
 def topk_semi_join(spark, sf):
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    spend = orders.groupBy("o_custkey").agg(exact_sum(F.col("o_totalprice")).alias("spend"))
+    spend = orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("spend"))
     return topk.keep_top_groups(orders, "o_custkey", spend, [F.desc("spend"), F.asc("o_custkey")], 5)
 
 
