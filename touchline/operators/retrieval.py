@@ -10,6 +10,7 @@ from touchline.operators.chunking import chunk_fixed
 from touchline.operators.embedding import hashed_vectors
 from touchline.operators.neighbours import nearest
 from touchline.operators.reconcile import additions
+from touchline.sources.tables import stored
 
 
 def retrieve(
@@ -25,16 +26,20 @@ def retrieve(
 
 
 def assemble_prompt(
-    ranked: DataFrame, chunks: DataFrame, questions: DataFrame,
+    ranked: DataFrame, documents: DataFrame, questions: DataFrame,
     question_id: str = "item_id", question: str = "text",
 ) -> DataFrame:
     """One prompt per question: its chunks in rank order, then the question.
 
-    ``ranked`` holds at most ``k`` rows per question, so the collected context
-    of a question is bounded.
+    The ranking is stored, because both the documents and the chunks are matched
+    against it; being small it is broadcast, and only documents with a hit are
+    cut again. It holds at most ``k`` rows per question, so the context
+    collected for a question is bounded.
     """
+    hits = stored(ranked.select(question_id, "doc_id", "seq", "rank"), "ranked_chunks")
+    chunks = chunk_fixed(documents.join(hits.select("doc_id"), "doc_id", "left_semi"))
     context = (
-        chunks.join(ranked.select(question_id, "doc_id", "seq", "rank"), ["doc_id", "seq"])
+        chunks.join(hits, ["doc_id", "seq"])
         .groupBy(question_id)
         .agg(F.array_sort(F.collect_list(F.struct("rank", "chunk"))).alias("_hits"))
         .select(

@@ -12,7 +12,7 @@ import logging
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
@@ -31,17 +31,6 @@ def run_timestamp(moment: datetime | None = None) -> Column:
     return F.lit(moment or datetime.now(timezone.utc))
 
 
-def written(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Store an intermediate in the shared folder and read it back.
-
-    Its readers then scan only the columns they need, and losing an executor
-    does not recompute what came before.
-    """
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def run_performance(
     spark: SparkSession, path: str, sink: sinks.Sink, run_ts: Column | None = None,
     date_id: int = fv.PERFORMANCE_DATE_ID,
@@ -51,7 +40,7 @@ def run_performance(
     raw = tables.read_csv(spark, path, fv.PLAYER_SCHEMA)
     if not validate(raw):
         log.warning("data quality issues found, continuing")
-    clean = written(performance.clean_players(raw), spark, "clean_players")
+    clean = tables.stored(performance.clean_players(raw), "clean_players")
     players = performance.dim_player(clean, run_ts)
     countries = performance.dim_country(clean, run_ts)
     positions = performance.dim_position(clean, run_ts)
@@ -76,7 +65,7 @@ def run_gold(spark: SparkSession, folder: str, sink: sinks.Sink, all_snapshots:
     sinks.smoke_test(spark, sink)
     inputs = tables.read_gold_inputs(spark, folder)
     tables.require(inputs)
-    typed = {n: written(df, spark, n) if df is not None else None for n, df in inputs.items()}
+    typed = {n: tables.stored(df, n) if df is not None else None for n, df in inputs.items()}
     return sinks.load_tables(gold.build(spark, typed, all_snapshots), sink)
 
 

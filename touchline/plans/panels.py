@@ -64,6 +64,25 @@ def avg_rating(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
     return _stat(shown(view, v), "Avg Performance Rating", exact_avg("performance_rating"))
 
 
+def headline_stats(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
+    """The four single-value panels with their bands, in one pass over the star."""
+    stats = [
+        ("Total Goals", F.sum("goals"), fv.TOTAL_GOALS_STEPS),
+        ("Total Assists", F.sum("assists"), fv.TOTAL_ASSISTS_STEPS),
+        ("Total Players", F.count_distinct("player_id"), fv.TOTAL_PLAYERS_STEPS),
+        ("Avg Performance Rating", exact_avg("performance_rating"), fv.AVG_RATING_STEPS),
+    ]
+    totals = shown(view, v).agg(*[value.cast("double").alias(title) for title, value, _ in stats])
+    rows = [
+        F.struct(
+            *_series(F.lit(title), F.col(title)),
+            band(F.col(title), steps).alias("band"),
+        )
+        for title, _, steps in stats
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def _grouped(view: DataFrame, v: Variables, key: str, value: Column) -> DataFrame:
     rows = shown(view, v).groupBy(key).agg(value.alias("_value"))
     return rows.select(*_series(F.col(key), F.col("_value")))
@@ -135,11 +154,6 @@ def country_table(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
     return top_n(table, [F.desc_nulls_last("Avg Rating"), F.asc("Country")], fv.TABLE_ROWS)
 
 
-def with_band(panel: DataFrame, steps) -> DataFrame:
-    """Panel with the colour band of each value."""
-    return panel.withColumn("band", band(F.col("value"), steps))
-
-
 def with_percent_band(panel: DataFrame, steps=tuple(fv.COUNTRY_GAUGE_PERCENT_STEPS)) -> DataFrame:
     """Band of each value within the range of the shown values.
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from touchline import fixed_values as fv
 from touchline.functions.cleaning import coerce
 from touchline.schemas import struct
+from touchline.session import scratch_path
 
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
@@ -34,6 +35,17 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written to the shared folder and read back.
+
+    Readers scan only the columns they need, a lost executor does not recompute
+    what came before, and Spark knows the size when it picks a join.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """CSV with a header and a declared schema; malformed values become null."""
     return (

@@ -61,11 +61,14 @@ def file_feed(spark: SparkSession, folder: str, max_files: int | None = None) ->
 
 
 def table_feed(spark: SparkSession, folder: str, table: str, schema: str, max_files: int | None = None) -> DataFrame:
-    """Parquet table read as a stream of its files."""
-    reader = spark.readStream.schema(struct(schema)).option("pathGlobFilter", f"{table}.parquet")
+    """Parquet table, one file or a folder of files, read as a stream.
+
+    The path is a pattern because a plain stream path must be a folder.
+    """
+    reader = spark.readStream.schema(struct(schema))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder.rstrip('/')}/{table}[.]parquet")
 
 
 # --- control ----------------------------------------------------------------
@@ -183,7 +186,7 @@ EVENT_SCHEMA = fv.PLAYER_SCHEMA + ", Timestamp STRING"
 
 def player_events(messages: DataFrame) -> DataFrame:
     """Player rows of JSON messages with their event time; rows without a key are dropped."""
-    parsed = messages.select(F.from_json("value", EVENT_SCHEMA).alias("_m")).select("_m.*")
+    parsed = messages.select(once(F.from_json("value", EVENT_SCHEMA)))
     return keyed_players(parsed).withColumn("event_ts", F.try_to_timestamp("Timestamp")).drop("Timestamp")
 
 

@@ -124,9 +124,9 @@ SELECT item_id, n_chunks,
 FROM contexts JOIN benchmark USING (item_id)
 """)
 def assemble_prompt(spark, sf):
-    chunks, questions = _chunks(spark, sf), read_table(spark, sf, "benchmark")
-    ranked = retrieval.retrieve(chunks, questions)
-    return retrieval.assemble_prompt(ranked, chunks, questions).select("item_id", "n_chunks", "prompt")
+    documents, questions = read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")
+    ranked = retrieval.retrieve(_chunks(spark, sf), questions)
+    return retrieval.assemble_prompt(ranked, documents, questions).select("item_id", "n_chunks", "prompt")
 
 
 @query(f"""

@@ -248,18 +248,10 @@ UNION ALL SELECT metric, value, {_ladder("percent", fv.COUNTRY_GAUGE_PERCENT_STE
 """)
 def threshold_band(spark, sf):
     star = view(spark, sf)
-    banded = [
-        panels.with_band(panels.total_goals(star), fv.TOTAL_GOALS_STEPS),
-        panels.with_band(panels.total_assists(star), fv.TOTAL_ASSISTS_STEPS),
-        panels.with_band(panels.total_players(star), fv.TOTAL_PLAYERS_STEPS),
-        panels.with_band(panels.avg_rating(star), fv.AVG_RATING_STEPS),
-        panels.with_percent_band(panels.top_countries(star)),
-    ]
-    rows = None
-    for panel in banded:
-        part = panel.select("metric", F.col("value").cast("double").alias("value"), "band")
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    gauge = panels.with_percent_band(panels.top_countries(star))
+    return panels.headline_stats(star).select("metric", "value", "band").unionByName(
+        gauge.select("metric", F.col("value").cast("double").alias("value"), "band")
+    )
 
 
 @query(f"""
