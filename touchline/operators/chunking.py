@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from touchline import fixed_values as fv
@@ -59,17 +59,19 @@ def chunk_recursive(
     """
     key_type = df.schema[doc_id].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, seqs, chunks = [], [], []
-            for key, body in zip(batch[doc_id], batch[text]):
-                for seq, piece in enumerate(split_text(body or "", size, overlap, separators)):
-                    ids.append(key)
-                    seqs.append(seq)
-                    chunks.append(piece)
-            yield pd.DataFrame({doc_id: ids, "seq": seqs, "chunk": chunks})
-
-    return df.select(doc_id, text).mapInPandas(run, f"{doc_id} {key_type}, seq int, chunk string")
+            owners, seqs, chunks = [], [], []
+            for owner, body in enumerate(batch.column(1).to_pylist()):
+                pieces = split_text(body or "", size, overlap, separators)
+                owners.extend([owner] * len(pieces))
+                seqs.extend(range(len(pieces)))
+                chunks.extend(pieces)
+            ids = batch.column(0).take(pa.array(owners, pa.int64()))
+            columns = [ids, pa.array(seqs, pa.int32()), pa.array(chunks, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [doc_id, "seq", "chunk"])
+
+    return df.select(doc_id, text).mapInArrow(run, f"{doc_id} {key_type}, seq int, chunk string")
 
 
 def split_text(text: str, size: int, overlap: int, separators: Sequence[str]) -> list[str]:

@@ -123,7 +123,8 @@ class _Best:
     def rows(self) -> pd.DataFrame:
         asked = self.ids.iloc[self.found["_q"].astype(np.int64)].reset_index(drop=True)
         found = self.found.reset_index(drop=True)
-        return pd.concat([asked, found[self.cid], found["distance"]], axis=1)
+        ids = pd.concat([asked, found[self.cid]], axis=1).astype(object)
+        return ids.assign(distance=found["distance"].astype(np.float64))
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 from urllib.parse import unquote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +17,8 @@ from touchline import fixed_values as fv
 def list_files(spark: SparkSession, folder: str, content: bool = False) -> DataFrame:
     """Every file below ``folder``: rel_path, filename, length, is_top_level[, content].
 
-    Without ``content`` no file is opened.
+    Without ``content`` no file is opened. Empty files are not listed, as the
+    feed does not carry them either.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     rel = relative_path(F.col("path"), folder)
@@ -72,14 +73,15 @@ def read_documents(spark: SparkSession, folder: str, extension: str = "txt") ->
     Files that cannot be read are skipped.
     """
     texts = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", f"*.{extension}")
+        spark.read.option("pathGlobFilter", f"*.{extension}")
         .option("recursiveFileLookup", True)
         .option("ignoreCorruptFiles", True)
-        .text(folder)
+        .text(folder, wholetext=True)
     )
+    # The metadata path is percent-encoded, but keeps a plus sign as it is.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return texts.select(
-        relative_path(F.col("_metadata.file_path"), folder).alias("doc_id"),
+        relative_path(path, folder).alias("doc_id"),
         F.col("value").alias("text"),
     )
 
@@ -92,19 +94,20 @@ def land_files(files: DataFrame, target: str) -> DataFrame:
     leave the target are refused. Returns rel_path, n_bytes, landed.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(target)
         for batch in batches:
             sizes, landed = [], []
-            for rel, body in zip(batch["rel_path"], batch["content"]):
+            for rel, body in zip(*(c.to_pylist() for c in batch.columns)):
                 safe = _inside(rel)
                 if safe:
-                    _replace(fs, posixpath.join(root, rel), bytes(body))
+                    _replace(fs, posixpath.join(root, rel), body)
                 sizes.append(len(body))
                 landed.append(safe)
-            yield pd.DataFrame({"rel_path": batch["rel_path"], "n_bytes": sizes, "landed": landed})
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(landed, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["rel_path", "n_bytes", "landed"])
 
-    return files.select("rel_path", "content").mapInPandas(
+    return files.select("rel_path", "content").mapInArrow(
         run, "rel_path string, n_bytes bigint, landed boolean"
     )
 
@@ -112,11 +115,11 @@ def land_files(files: DataFrame, target: str) -> DataFrame:
 def delete_files(paths: DataFrame, target: str) -> DataFrame:
     """Delete ``target``/``rel_path`` for each row; missing files count as deleted."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(target)
         for batch in batches:
             done = []
-            for rel in batch["rel_path"]:
+            for rel in batch.column(0).to_pylist():
                 safe = _inside(rel)
                 if safe:
                     try:
@@ -124,9 +127,10 @@ def delete_files(paths: DataFrame, target: str) -> DataFrame:
                     except FileNotFoundError:
                         pass
                 done.append(safe)
-            yield pd.DataFrame({"rel_path": batch["rel_path"], "deleted": done})
+            columns = [batch.column(0), pa.array(done, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["rel_path", "deleted"])
 
-    return paths.select("rel_path").mapInPandas(run, "rel_path string, deleted boolean")
+    return paths.select("rel_path").mapInArrow(run, "rel_path string, deleted boolean")
 
 
 def _open(target: str):
