@@ -151,3 +151,28 @@ def test_chat_history_numbers_long_conversations(spark):
     got = retrieval.chat_history(df, block=8)
     assert rows(got.where("conv_id = 1").select("position", "turn")) == sorted(((i + 1, t) for i, t in enumerate(range(0, 50, 3))), key=repr)
     assert rows(got.where("conv_id = 2").select("position", "role")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_nearest_with_text_ids_and_bounded_slices(spark, monkeypatch):
+    from touchline.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "MAX_PAIRS", 20)
+    rng = np.random.default_rng(5)
+    matrix = rng.normal(size=(120, 4))
+    corpus = vectors(spark, matrix, "c").selectExpr("concat('doc', lpad(c, 4, '0')) AS c", "vector")
+    found = nearest(corpus, vectors(spark, matrix[:6], "q").selectExpr("concat('q', q) AS q", "vector"), ["c"], ["q"], k=3)
+    want = [(f"q{q}", f"doc{c:04d}", r) for q, c, r in brute_force(matrix, matrix[:6], 3, "l2")]
+    assert rows(found.select("q", "c", "rank")) == sorted(want, key=repr)
+
+
+def test_collection_grows_by_new_documents_only(spark, tmp_path):
+    path = str(tmp_path / "collection")
+    questions = spark.createDataFrame([(1, "green turtle")], "item_id bigint, text string")
+    assert retrieval.search_index(spark, path, questions).count() == 0
+    retrieval.extend_index(docs(spark, "red fox", "blue whale"), path)
+    retrieval.extend_index(docs(spark, "changed text", "blue whale", "green turtle"), path)
+    assert rows(spark.read.parquet(path).select("doc_id", "chunk")) == [("0", "red fox"), ("1", "blue whale"), ("2", "green turtle")]
+    best = retrieval.search_index(spark, path, questions, k=1).first()
+    assert (best["doc_id"], best["seq"], best["rank"]) == ("2", 0, 1)
+    retrieval.extend_index(docs(spark, "red fox"), path)
+    assert spark.read.parquet(path).count() == 3

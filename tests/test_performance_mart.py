@@ -171,3 +171,36 @@ def test_csv_with_declared_schema(spark, tmp_path, text, want):
     path.write_text(",".join(NAMES) + "\n" + f"A ,X,{text},FW" + ",1" * 14 + "\n")
     row = tables.read_csv(spark, str(path), fv.PLAYER_SCHEMA).first()
     assert (row["Player_Name"], row["Age"], row["Performance_Rating"]) == ("A ", want, 1.0)
+
+
+def test_panels_over_loaded_tables(spark, tmp_path):
+    source, out = str(tmp_path / "players"), str(tmp_path / "mart")
+    changes = [{"Player_Name": f"P{i}", "Country": f"C{i % 4}", "Age": 20 + i, "Goals": i} for i in range(12)]
+    raw(spark, *changes).write.option("header", True).csv(source)
+    jobs.run_performance(spark, source, sinks.parquet_sink(out), ts())
+    direct = performance.clean_view(performance.clean_players(raw(spark, *changes)), ts())
+    for name, panel in panels.PANELS.items():
+        for v in (panels.DEFAULTS, panels.Variables("Forward", 24, 7.0)):
+            assert rows(jobs.run_panel(spark, name, out, v)) == rows(panel(direct, v))
+
+
+def test_panel_filters_reach_the_scan(spark, tmp_path, capsys):
+    source, out = str(tmp_path / "players"), str(tmp_path / "mart")
+    raw(spark, {}).write.option("header", True).csv(source)
+    jobs.run_performance(spark, source, sinks.parquet_sink(out))
+    jobs.run_panel(spark, "total_goals", out).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "LessThanOrEqual(age,28)" in plan
+    assert "GreaterThanOrEqual(performance_rating,8.0)" in plan and "GreaterThan(minutes_played,0)" in plan
+    assert "player_name" not in plan
+
+
+def test_bucketed_star_joins_without_a_shuffle(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS mart")
+    _, fact, players, *_ = star(spark, *[{"Player_Name": f"P{i}"} for i in range(50)])
+    same = (4, "player_id")
+    sink = sinks.catalog_sink("mart", {"fact": same, "player": same}, str(tmp_path))
+    assert sinks.load_tables({"fact": fact, "player": players}, sink) == {"fact": 50, "player": 50}
+    joined = spark.table("mart.fact").hint("merge").join(spark.table("mart.player").hint("merge"), "player_id")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 50

@@ -20,6 +20,8 @@ from touchline import fixed_values as fv
 
 MAX_BROADCAST_QUESTIONS = 20_000
 MAX_CELL_ROWS = 200_000
+# Distances held at once by a task.
+MAX_PAIRS = 4_000_000
 
 
 def nearest(
@@ -36,7 +38,7 @@ def nearest(
     """Rows (question id, corpus id, distance, rank) with rank 1..k.
 
     ``metric`` is ``l2`` (squared Euclidean) or ``cosine`` (one minus cosine).
-    Equal distances rank by corpus id.
+    Equal distances rank by corpus id; ids are unique on both sides.
     """
     qid, cid = list(question_id), list(corpus_id)
     corpus = corpus.select(*cid, F.col(vector).alias("_cv"))
@@ -99,8 +101,14 @@ class _Best:
         self.limit = np.full(len(questions), np.inf)
 
     def add(self, batch: pd.DataFrame) -> None:
+        """Take in corpus rows, a slice at a time so that memory stays bounded."""
         if not len(batch) or not len(self.ids):
             return
+        step = max(self.k + 1, MAX_PAIRS // len(self.ids))
+        for start in range(0, len(batch), step):
+            self._add_slice(batch.iloc[start : start + step])
+
+    def _add_slice(self, batch: pd.DataFrame) -> None:
         rows = _matrix(batch["_cv"])
         # A fast estimate rules most pairs out; survivors are measured exactly.
         estimate, slack = _estimate(self.matrix, rows, self.metric)
@@ -110,6 +118,8 @@ class _Best:
         else:
             limit = self.limit
         q, r = np.nonzero(estimate <= (limit + slack)[:, None])
+        if not len(q):
+            return
         fresh = batch[self.cid].iloc[r].reset_index(drop=True)
         fresh.insert(0, "distance", _exact(self.matrix[q], rows[r], self.metric))
         fresh.insert(0, "_q", q)

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
-from touchline.operators.chunking import chunk_fixed
+from touchline.operators.chunking import chunk_fixed, chunk_recursive
 from touchline.operators.embedding import hashed_vectors
 from touchline.operators.neighbours import nearest
 from touchline.operators.reconcile import additions
-from touchline.sources.tables import stored
+from touchline.sources.tables import read_parquet_optional, stored
 
 
 def retrieve(
@@ -60,9 +60,49 @@ def fill_prompt(context: Column, question: Column) -> Column:
     return F.concat(F.lit(before), context, F.lit(between), question, F.lit(after))
 
 
+def new_documents(documents: DataFrame, known: DataFrame) -> DataFrame:
+    """Documents whose id the collection does not have yet.
+
+    Ids are compared first and the new ones stored. Texts are then picked by a
+    side of known size, which is broadcast when few documents are new, so
+    the texts need not be shuffled.
+    """
+    ids = stored(additions(documents.select("doc_id"), known, ["doc_id"]), "new_documents")
+    return documents.join(ids, "doc_id", "left_semi")
+
+
 def incremental_chunks(documents: DataFrame, known: DataFrame) -> DataFrame:
-    """Chunks of the documents whose id the collection does not have yet."""
-    return chunk_fixed(additions(documents, known, ["doc_id"]))
+    """Chunks of the documents that are new to the collection."""
+    return chunk_fixed(new_documents(documents, known))
+
+
+INDEX_SCHEMA = "doc_id STRING, seq INT, chunk STRING, vector ARRAY<FLOAT>"
+
+
+def index_rows(documents: DataFrame) -> DataFrame:
+    """Chunks with their vectors, as kept in a collection."""
+    texts = documents.withColumn("doc_id", F.col("doc_id").cast("string"))
+    return hashed_vectors(chunk_recursive(texts), "chunk")
+
+
+def extend_index(documents: DataFrame, path: str) -> None:
+    """Add documents to the collection at ``path``; documents it has are left alone."""
+    spark = documents.sparkSession
+    known = read_parquet_optional(spark, path, INDEX_SCHEMA).select("doc_id").distinct()
+    texts = documents.withColumn("doc_id", F.col("doc_id").cast("string"))
+    index_rows(new_documents(texts, known)).write.mode("append").parquet(path)
+
+
+def search_index(
+    spark: SparkSession, path: str, questions: DataFrame, question_id: str = "item_id",
+    question: str = "text", k: int = fv.RETRIEVED_CHUNKS,
+) -> DataFrame:
+    """Best ``k`` chunks of a stored collection for each question."""
+    return nearest(
+        read_parquet_optional(spark, path, INDEX_SCHEMA),
+        hashed_vectors(questions.select(question_id, question), question),
+        ["doc_id", "seq"], [question_id], k=k, metric="cosine",
+    )
 
 
 def chat_history(messages: DataFrame, block: int = 1024) -> DataFrame:

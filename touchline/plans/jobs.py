@@ -3,6 +3,10 @@
     python -m touchline.plans.jobs performance --input data.csv --output mart
     python -m touchline.plans.jobs gold --input folder --output mart
     python -m touchline.plans.jobs files --input folder --output landing
+    python -m touchline.plans.jobs panel --input mart --panel country_table --max-age 32
+
+Without --output the marts go to, and without --input the panels come from, the
+database named by the PG_* environment variables.
 """
 
 from __future__ import annotations
@@ -12,13 +16,13 @@ import logging
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
 from touchline.operators.quality import validate
 from touchline.operators.reconcile import orphans
-from touchline.plans import gold, performance
+from touchline.plans import gold, panels, performance
 from touchline.session import build_session, scratch_path
 from touchline.sources import files, sinks, tables
 from touchline.streaming import feeds
@@ -88,14 +92,33 @@ def run_files(spark: SparkSession, folder: str, target: str, cleanup: bool = Fal
     )
 
 
+def run_panel(
+    spark: SparkSession, name: str, folder: str | None = None, variables: panels.Variables = panels.DEFAULTS
+) -> DataFrame:
+    """One dashboard panel over the loaded star."""
+
+    def read(table: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{table}") if folder else sinks.read_jdbc(spark, table)
+
+    return panels.PANELS[name](performance.stored_view(read), variables)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["performance", "gold", "files"])
-    parser.add_argument("--input", required=True)
-    parser.add_argument("--output", help="folder; without it the database of the PG_* variables")
+    parser.add_argument("job", choices=["performance", "gold", "files", "panel"])
+    parser.add_argument("--input")
+    parser.add_argument("--output")
     parser.add_argument("--cleanup", action="store_true", help="files: remove stale targets first")
     parser.add_argument("--all-snapshots", action="store_true", help="gold: keep every KPI snapshot")
+    parser.add_argument("--panel", choices=sorted(panels.PANELS), default="country_table")
+    parser.add_argument("--position", default=fv.DEFAULT_POSITION)
+    parser.add_argument("--max-age", type=int, default=fv.DEFAULT_MAX_AGE)
+    parser.add_argument("--min-rating", type=float, default=fv.DEFAULT_MIN_RATING)
     args = parser.parse_args(argv)
+    if args.job != "panel" and not args.input:
+        parser.error("--input is required")
+    if args.job == "files" and not args.output:
+        parser.error("--output is required")
     logging.basicConfig(level=logging.INFO)
     spark = build_session(f"touchline-{args.job}")
     sink = sinks.parquet_sink(args.output) if args.output else sinks.jdbc_sink()
@@ -103,8 +126,11 @@ def main(argv: list[str] | None = None) -> None:
         run_performance(spark, args.input, sink)
     elif args.job == "gold":
         run_gold(spark, args.input, sink, args.all_snapshots)
-    else:
+    elif args.job == "files":
         run_files(spark, args.input, args.output, args.cleanup)
+    else:
+        variables = panels.Variables(args.position, args.max_age, args.min_rating)
+        run_panel(spark, args.panel, args.input, variables).show(truncate=False)
     spark.stop()
 
 

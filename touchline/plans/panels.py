@@ -202,3 +202,19 @@ def option_grid(view: DataFrame) -> DataFrame:
             F.sum("a").alias("total_assists"),
         )
     )
+
+
+PANELS = {
+    "total_goals": total_goals,
+    "total_assists": total_assists,
+    "total_players": total_players,
+    "avg_rating": avg_rating,
+    "rating_by_position": rating_by_position,
+    "top_contributors": top_contributors,
+    "country_count": country_count,
+    "position_share": position_share,
+    "top_countries": top_countries,
+    "position_count": position_count,
+    "ranking": ranking,
+    "country_table": country_table,
+}

@@ -7,6 +7,8 @@ dimension is joined to make the fact.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +122,13 @@ def star_view(fact: DataFrame, players: DataFrame, countries: DataFrame, positio
     )
 
 
+def stored_view(read: Callable[[str], DataFrame]) -> DataFrame:
+    """The panel view over loaded tables; ``read`` returns a table by name."""
+    return star_view(
+        read("fact_performance"), read("dim_player"), read("dim_country"), read("dim_position")
+    )
+
+
 def clean_view(clean: DataFrame, run_ts: Column, date_id: int = fv.PERFORMANCE_DATE_ID) -> DataFrame:
     """The same rows as ``star_view`` taken from the clean frame without a join."""
     return clean.select(

@@ -152,4 +152,9 @@ def _replace(fs, path: str, body: bytes) -> None:
     draft = f"{posixpath.dirname(path)}/.{posixpath.basename(path)}.{uuid.uuid4().hex}"
     with fs.open_output_stream(draft) as out:
         out.write(body)
-    fs.move(draft, path)
+    try:
+        fs.move(draft, path)
+    except OSError:
+        # Some file systems refuse to rename onto an existing file.
+        fs.delete_file(path)
+        fs.move(draft, path)

@@ -24,6 +24,25 @@ def parquet_sink(folder: str, partition_by: Mapping[str, list[str]] | None = Non
     return write
 
 
+def catalog_sink(database: str, buckets: Mapping[str, tuple[int, str]] | None = None, folder: str | None = None) -> Sink:
+    """Overwrite ``database.<table>``; ``buckets`` gives (count, column) per table.
+
+    Tables bucketed alike on their join column are joined without a shuffle.
+    """
+    layout = buckets or {}
+
+    def write(df: DataFrame, table: str) -> None:
+        writer = df.write.mode("overwrite").format("parquet")
+        if table in layout:
+            count, column = layout[table]
+            writer = writer.bucketBy(count, column).sortBy(column)
+        if folder:
+            writer = writer.option("path", f"{folder}/{table}")
+        writer.saveAsTable(f"{database}.{table}")
+
+    return write
+
+
 def jdbc_options(table: str, env: Mapping[str, str] = os.environ) -> dict[str, str]:
     """Connection and writer options. Credentials come from the environment only."""
     absent = [k for k in ("PG_HOST", "PG_DB", "PG_USER", "PG_PASSWORD") if not env.get(k)]
