@@ -37,7 +37,7 @@ def chunk_fixed(
         doc_id, "_block", "_part",
         f"explode(sequence(0, {_last_window('_part', step, overlap)})) AS _window",
     ).selectExpr(
-        doc_id, f"_block * {BLOCK_WINDOWS} + _window AS seq",
+        doc_id, f"CAST(_block * {BLOCK_WINDOWS} + _window AS INT) AS seq",
         f"substring(_part, _window * {step} + 1, {size}) AS chunk",
     )
 

@@ -18,7 +18,7 @@ from touchline.functions.cleaning import coerce, outcome
 from touchline.functions.keys import composite_key, name_key
 from touchline.operators.dedup import first_by, latest_by
 from touchline.schemas import measures
-from touchline.sources.tables import empty, require
+from touchline.sources.tables import empty, require, stored
 
 
 # --- typed inputs -----------------------------------------------------------
@@ -178,8 +178,9 @@ def fact_player_match(player_match: DataFrame, players: DataFrame, teams: DataFr
 # --- wide and optional tables -----------------------------------------------
 
 def latest_kpis(kpis: DataFrame) -> DataFrame:
-    """Most recent snapshot of each team."""
-    return latest_by(kpis, ["team"], ["asof_date", "stage"])
+    """Most recent snapshot of each team, with the measures the wide table shows."""
+    snapshots = kpis.select("team", "asof_date", "stage", *fv.KPI_SIDE_MEASURES)
+    return latest_by(snapshots, ["team"], ["asof_date", "stage"])
 
 
 def _kpi_role(kpis: DataFrame, role: str) -> DataFrame:
@@ -189,12 +190,12 @@ def _kpi_role(kpis: DataFrame, role: str) -> DataFrame:
     )
 
 
-def bigtable(matches: DataFrame, attendance: DataFrame, kpis: DataFrame, all_snapshots: bool = False) -> DataFrame:
+def bigtable(matches: DataFrame, attendance: DataFrame, sides: DataFrame) -> DataFrame:
     """One wide row per match: score, attendance, both teams' KPIs, result.
 
-    ``all_snapshots`` repeats the match for every pair of team snapshots.
+    ``sides`` has the KPIs of a team: from ``latest_kpis`` one row each; with every
+    snapshot a match repeats for each pair of team snapshots.
     """
-    sides = kpis if all_snapshots else latest_kpis(kpis)
     base = [
         "match_id", "match_ts", "match_date", "stage", "group_id", "stadium", "city",
         "home_team", "away_team", *measures(fv.MATCH_SCHEMA),
@@ -243,7 +244,12 @@ def build(spark: SparkSession, inputs: Mapping[str, DataFrame | None], all_snaps
     kpis = typed_team_kpis(inputs["team_kpis"])
     marketing = typed_marketing(raw["marketing"])
     player_match = typed_player_match(raw["player_match"])
-    teams, stadiums, players = dim_team(kpis), dim_stadium(matches), dim_player(player_match)
+    # Stored because several joins use them: with sizes known beforehand, small
+    # sides are broadcast and the facts are not shuffled.
+    teams = stored(dim_team(kpis), "dim_team")
+    stadiums = stored(dim_stadium(matches), "dim_stadium")
+    sides = kpis if all_snapshots else stored(latest_kpis(kpis), "latest_kpis")
+    players = dim_player(player_match)
     return {
         "dim_team": teams,
         "dim_stadium": stadiums,
@@ -263,7 +269,7 @@ def build(spark: SparkSession, inputs: Mapping[str, DataFrame | None], all_snaps
         "fact_team_kpis": fact_team_kpis(kpis),
         "fact_marketing": fact_marketing(marketing),
         "fact_player_match": fact_player_match(player_match, players, teams),
-        "bigtable_gold": bigtable(matches, attendance, kpis, all_snapshots),
+        "bigtable_gold": bigtable(matches, attendance, sides),
         "group_standings": group_standings(raw["standings"], teams),
         "players_snapshot_gold": players_snapshot(raw["snapshot"], teams),
     }

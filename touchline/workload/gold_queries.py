@@ -206,7 +206,8 @@ FROM matches m LEFT JOIN attendance t ON m.match_id = t.match_id
     "SELECT * FROM kpis QUALIFY row_number() OVER (PARTITION BY team ORDER BY asof_date DESC, stage DESC) = 1"
 ))
 def bigtable(spark, sf):
-    return gold.bigtable(_matches(spark, sf), _attendance(spark, sf), _kpis(spark, sf))
+    sides = gold.latest_kpis(_kpis(spark, sf))
+    return gold.bigtable(_matches(spark, sf), _attendance(spark, sf), sides)
 
 
 @query(f"""
