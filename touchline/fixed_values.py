@@ -74,7 +74,8 @@ PERFORMANCE_MEASURES = {
 }
 TOP_PERFORMERS = 50
 
-# Inputs of the gold mart (types after coercion) and their files.
+# Inputs of the gold mart (types after coercion) and their files;
+# file names may carry any prefix.
 MATCH_SCHEMA = """
     match_id STRING, match_date_utc STRING, stage STRING, group_id STRING,
     stadium STRING, city STRING, referee STRING, home_team STRING, away_team STRING,
@@ -116,13 +117,13 @@ SNAPSHOT_SCHEMA = """
     goal_involvements INT, minutes_played INT
 """
 GOLD_FILES = {
-    "matches": "can2025_matches.csv",
-    "attendance": "can2025_match_attendance.csv",
-    "team_kpis": "can2025_team_kpis.csv",
-    "marketing": "can2025_marketing_daily.csv",
-    "player_match": "can2025_player_match_stats.csv",
-    "standings": "group_standings_raw.csv",
-    "snapshot": "players_detailed_stats.csv",
+    "matches": "*matches.csv",
+    "attendance": "*match_attendance.csv",
+    "team_kpis": "*team_kpis.csv",
+    "marketing": "*marketing_daily.csv",
+    "player_match": "*player_match_stats.csv",
+    "standings": "*group_standings_raw.csv",
+    "snapshot": "*players_detailed_stats.csv",
 }
 REQUIRED_GOLD_INPUTS = ["matches", "attendance", "team_kpis"]
 
@@ -152,7 +153,7 @@ ENVELOPE_SCHEMA = """
 """
 CONTENT_TYPE = "application/octet-stream"
 DONE_TYPE = "_DONE_"
-FILES_TOPIC = "can2025_data_files"
+FILES_TOPIC = "data_files"
 PLAYER_TOPIC = "player-data"
 DRAIN_TIMEOUT_S = 180
 
