@@ -5,6 +5,7 @@ import pytest
 from compare import _canon, difference, duck
 from conftest import DATA
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 
 
@@ -18,6 +19,8 @@ def test_query(spark, con, name):
     df = QUERIES[name](spark, DATA)
     if name in SQL:
         assert difference(df, con, SQL[name]) is None
+        types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+        assert {c: TYPES.get(t, t) for c, t in df.dtypes} == types
     else:
         assert df.count() > 0
     plan = df._jdf.queryExecution().executedPlan().toString()

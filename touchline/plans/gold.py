@@ -17,6 +17,7 @@ from touchline.functions.calendar import date_id, fact_date_parts, parse_timesta
 from touchline.functions.cleaning import coerce, outcome
 from touchline.functions.keys import composite_key, name_key
 from touchline.operators.dedup import first_by, latest_by
+from touchline.operators.lookup import lookup
 from touchline.schemas import measures
 from touchline.sources.tables import empty, require, stored
 
@@ -120,9 +121,9 @@ def _stadium_key() -> Column:
 
 def fact_matches(matches: DataFrame, teams: DataFrame) -> DataFrame:
     """Match facts; home and away team are two roles of one dimension."""
+    known = lookup(matches, _team_role(teams, "home"), ["home_team"], ["match_id"])
     return (
-        matches.join(_team_role(teams, "home"), "home_team", "left")
-        .join(_team_role(teams, "away"), "away_team", "left")
+        lookup(known, _team_role(teams, "away"), ["away_team"], ["match_id"])
         .select(
             "match_id",
             date_id(F.col("match_date")).alias("match_date_id"),
@@ -137,7 +138,7 @@ def fact_matches(matches: DataFrame, teams: DataFrame) -> DataFrame:
 
 def fact_attendance(attendance: DataFrame, stadiums: DataFrame) -> DataFrame:
     place = stadiums.select(F.col("stadium_name").alias("stadium"), "city", "stadium_id")
-    return attendance.join(place, ["stadium", "city"], "left").select(
+    return lookup(attendance, place, ["stadium", "city"], ["match_id"]).select(
         "match_id", date_id(F.col("match_date")).alias("match_date_id"), "stadium_id",
         *measures(fv.ATTENDANCE_SCHEMA),
     )
@@ -165,9 +166,9 @@ def fact_player_match(player_match: DataFrame, players: DataFrame, teams: DataFr
     rows = player_match.select(
         "match_id", "match_date", "player_name", F.col("team").alias("team_name"), *numbers
     )
+    known = lookup(rows, players, ["player_name", "team_name"], ["match_id"], salts=1)
     return (
-        rows.join(players, ["player_name", "team_name"], "left")
-        .join(teams.select("team_name", "team_id"), "team_name", "left")
+        lookup(known, teams.select("team_name", "team_id"), ["team_name"], ["match_id"])
         .select(
             "match_id", date_id(F.col("match_date")).alias("match_date_id"), "team_id",
             "player_id", "position", *numbers,
@@ -201,10 +202,10 @@ def bigtable(matches: DataFrame, attendance: DataFrame, sides: DataFrame) -> Dat
         "home_team", "away_team", *measures(fv.MATCH_SCHEMA),
     ]
     home, away = _kpi_role(sides, "home"), _kpi_role(sides, "away")
+    rows = matches.join(attendance.select("match_id", *fv.ATTENDANCE_MEASURES), "match_id", "left")
+    rows = lookup(rows, home, ["home_team"], ["match_id"])
     return (
-        matches.join(attendance.select("match_id", *fv.ATTENDANCE_MEASURES), "match_id", "left")
-        .join(home, "home_team", "left")
-        .join(away, "away_team", "left")
+        lookup(rows, away, ["away_team"], ["match_id"])
         .select(
             *base, *fv.ATTENDANCE_MEASURES, *home.columns[1:], *away.columns[1:],
             outcome(F.col("home_goals"), F.col("away_goals")).alias("match_result"),
@@ -221,7 +222,7 @@ def group_standings(raw: DataFrame, teams: DataFrame) -> DataFrame:
 
 def players_snapshot(raw: DataFrame, teams: DataFrame) -> DataFrame:
     rows = coerce(raw, fv.SNAPSHOT_SCHEMA).withColumnRenamed("team", "team_name")
-    return rows.join(teams.select("team_name", "team_id"), "team_name", "left").select(
+    return lookup(rows, teams.select("team_name", "team_id"), ["team_name"], ["player_name"]).select(
         composite_key("player_name", "team_name").alias("player_id"),
         "player_name", "team_id", "team_name", "position",
         "goals", "assists", "goal_involvements", "minutes_played",

@@ -9,6 +9,7 @@ from touchline.functions.keys import composite_key, name_key
 from touchline.functions.numeric import exact_sum
 from touchline.operators import bands, dedup, quality, reconcile, topk
 from touchline.plans import performance
+from touchline.operators.lookup import lookup
 from touchline.sources import files
 from touchline.sources.tables import read_parquet_optional
 from touchline.workload import frames
@@ -367,7 +368,8 @@ def join_left_composite(spark, sf):
     lines = read_table(spark, sf, "lineitem")
     pair = ["l_partkey", "l_suppkey"]
     returned = lines.where("l_returnflag = 'R'").groupBy(*pair).agg(F.count(F.lit(1)).alias("returned"))
-    return lines.select("l_orderkey", "l_linenumber", *pair).join(returned, pair, "left")
+    rows = lines.select("l_orderkey", "l_linenumber", *pair)
+    return lookup(rows, returned, pair, ["l_orderkey", "l_linenumber"])
 
 
 @query(f"""
