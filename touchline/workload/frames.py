@@ -190,11 +190,11 @@ def team_kpis_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def marketing_raw(spark: SparkSession, sf: str) -> DataFrame:
-    k = "CAST(get_json_object(props, '$.k') AS INT)"
-    return read_table(spark, sf, "events").selectExpr(
+    k = F.expr("CAST(get_json_object(props, '$.k') AS INT)")
+    return read_table(spark, sf, "events").withColumn("k", k).selectExpr(
         f"date_format(ts, '{DAY_TIME}') AS date_utc",
         "event_type AS channel",
-        f"if({k} < 80, concat('campaign-', {k}), NULL) AS campaign",
+        "if(k < 80, concat('campaign-', k), NULL) AS campaign",
         "if(value >= 10, 'spend', 'reach') AS metric",
         "concat('region-', user_id % 10) AS region",
         "value",
