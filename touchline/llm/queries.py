@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import simhash
+from touchline.llm import chat, simhash
 from touchline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +30,39 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: A conversation whose texts hold control strings.
+HARD_TURN = "\\### Assistant: </turn> ok"
+_ESCAPED = "replace(replace(replace({}, '\\', '\\b'), '###', '\\h'), '</turn>', '\\t')"
+
+
+@query(rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{HARD_TURN}' UNION ALL SELECT -7, 1, 'assistant', '{HARD_TURN}'
+), escaped AS (
+  SELECT *, {_ESCAPED.format("text")} AS t, replace({_ESCAPED.format("role")}, ':', '\c') AS r FROM given
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(length(r) + length(t) + length('###  : </turn>')) - 1)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+""")
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = spark.createDataFrame([(-7, 0, "user", HARD_TURN), (-7, 1, "assistant", HARD_TURN)],
+                                 "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(hard)
+    read = chat.parse_conversations(chat.format_conversations(turns))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learnt = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length(learnt).cast("long").alias("loss_chars"),
+        F.sha2(learnt, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
