@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, decontaminate, quality, simhash, urls, warc
+from touchline.llm import chat, decontaminate, pii, quality, simhash, urls, warc
 from touchline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 #: A conversation whose texts hold control strings.
 HARD_TURN = "\\### Assistant: </turn> ok"
 _ESCAPED = "replace(replace(replace({}, '\\', '\\b'), '###', '\\h'), '</turn>', '\\t')"
