@@ -17,7 +17,7 @@ DEFAULT_KEY = "touchline-pseudonyms"
 
 #: Forms of what is looked for; which one a match is, is told by its shape.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-PHONE = r"\+1 \([2-9]\d{2}\) [2-9]\d{2}-\d{4}(?!\d)|(?<![\d.-])[2-9]\d{2}-[2-9]\d{2}-\d{4}(?![\d-])"
+PHONE = r"\+1 \(\d{3}\) \d{3}-\d{4}(?!\d)|(?<![\d.-])[2-9]\d{2}-[2-9]\d{2}-\d{4}(?![\d-])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
@@ -108,12 +108,15 @@ def card(value: Column, key: str) -> Column:
 
 
 def phone(value: Column, key: str) -> Column:
-    """Area, exchange and line of a ten-digit number; both first digits stay in 2 to 9. A leading +1 stays."""
+    """Area, exchange and line of a ten-digit number; both first digits stay in 2 to 9, or in 0 to 1. A leading +1 stays."""
     def body(d: Column) -> Column:
         area, exchange, line = (_number(F.substring(d, a, n)) for a, n in ((1, 3), (4, 3), (7, 4)))
-        image = feistel(area - 200, (exchange - 200) * 10_000 + line, F.lit(800), F.lit(8_000_000), key, "phone")
-        return let(image, lambda x: F.concat((x["l"] + 200).cast("string"), (F.floor(x["r"] / 10_000) + 200).cast("string"),
-                                             _padded(x["r"] % 10_000, 4)))
+        low = lambda n: F.when(n < 200, 0).otherwise(200)
+        many = lambda n: F.when(n < 200, 200).otherwise(800)
+        image = feistel(area - low(area), (exchange - low(exchange)) * 10_000 + line,
+                        many(area), many(exchange) * 10_000, key, "phone")
+        return let(image, lambda x: F.concat(
+            _padded(x["l"] + low(area), 3), _padded(F.floor(x["r"] / 10_000) + low(exchange), 3), _padded(x["r"] % 10_000, 4)))
     prefix = F.when(value.startswith("+1"), F.lit("+1")).otherwise(F.lit(""))
     return let(F.substring(value, F.length(prefix) + F.lit(1), F.length(value)),
                lambda v: F.concat(prefix, _fill(v, body(_digits(v)))))
