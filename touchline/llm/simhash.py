@@ -82,9 +82,9 @@ def bit_statistics(prints: DataFrame) -> tuple[int, np.ndarray]:
 
 def correlated_groups(together: np.ndarray, n: int, parts: int) -> list[list[int]]:
     """Bits in ``parts`` groups of about equal size, each grown from the most correlated bits."""
-    p = np.diag(together) / max(n, 1)
+    p = np.diag(together) / n
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
-    tie = np.abs((together / max(n, 1) - np.outer(p, p)) / np.outer(spread, spread))
+    tie = np.abs((together / n - np.outer(p, p)) / np.outer(spread, spread))
     np.fill_diagonal(tie, 0)
     free, groups = set(range(BITS)), []
     for i in range(parts):
@@ -108,7 +108,7 @@ def key_of(bits: list[int], column: str = "fingerprint"):
         at += len(run)
     key = F.lit(0).cast("long")
     for start, to, width in runs:
-        key = key.bitwiseOR(F.shiftleft(F.shiftrightunsigned(column, start).bitwiseAND(F.lit((1 << width) - 1)), to))
+        key = key.bitwiseOR(F.shiftleft(F.shiftrightunsigned(column, start).bitwiseAND(F.lit((1 << width) - 1 if width < BITS else -1)), to))
     return key
 
 
@@ -141,13 +141,14 @@ def plan_search(prints: DataFrame, radius: int) -> list[tuple[list[int], int]]:
     at distance t are estimated from them and the chances of single bits to differ.
     """
     n, together = bit_statistics(prints)
+    n = max(n, 1)  # without rows all ways cost nothing
     choices = {m: correlated_groups(together, n, m) for m in range(2, radius + 2)} if radius else {1: [list(range(BITS))]}
     keys = [F.struct(F.lit(m).alias("m"), F.lit(i).alias("i"), key_of(bits).alias("key"))
             for m, groups in choices.items() for i, bits in enumerate(groups)]
     met = (prints.select(F.explode(F.array(*keys)).alias("k")).groupBy("k").count()
            .groupBy("k.m", "k.i").agg(F.sum(F.col("count").cast("double") ** 2).alias("pairs")))
     pairs = {(r["m"], r["i"]): r["pairs"] for r in met.collect()}  # a row for each partition of each choice
-    p = np.diag(together) / max(n, 1)
+    p = np.diag(together) / n
     plans = []
     for m, groups in choices.items():
         costs = []
@@ -169,12 +170,14 @@ def near_pairs(prints: DataFrame, radius: int) -> DataFrame:
     ``prints``: (id, fingerprint), one row for a fingerprint.
     """
     search = plan_search(prints, radius)
-    probes = [F.struct(F.lit(i).alias("part"), key_of(bits).bitwiseXOR(F.lit(mask)).alias("key"))
-              for i, (bits, t) in enumerate(search)
-              for d in range(t + 1)
-              for mask in (sum(1 << x for x in c) for c in itertools.combinations(range(len(bits)), d))]
+    probes = []
+    for i, (bits, t) in enumerate(search):
+        masks = [sum(1 << x for x in c) for d in range(t + 1) for c in itertools.combinations(range(len(bits)), d)]
+        masks = F.array(*(F.lit(m).cast("long") for m in masks))
+        probes.append(F.transform(F.array(key_of(bits)), lambda k: F.transform(
+            masks, lambda m: F.struct(F.lit(i).alias("part"), k.bitwiseXOR(m).alias("key"))))[0])
     exact = [F.struct(F.lit(i).alias("part"), key_of(bits).alias("key")) for i, (bits, _) in enumerate(search)]
-    left = prints.select(F.col("id").alias("a"), F.col("fingerprint").alias("fa"), F.explode(F.array(*probes)).alias("k"))
+    left = prints.select(F.col("id").alias("a"), F.col("fingerprint").alias("fa"), F.explode(F.concat(*probes)).alias("k"))
     right = prints.select(F.col("id").alias("b"), F.col("fingerprint").alias("fb"), F.explode(F.array(*exact)).alias("k"))
     left, right = left.select("a", "fa", "k.part", "k.key"), right.select("b", "fb", "k.part", "k.key")
     met = left.join(right, ["part", "key"]).where((F.col("fa") < F.col("fb"))
