@@ -12,6 +12,7 @@ The result is a list of runs that tells each (length, rank) its sequence and off
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections import defaultdict
@@ -28,48 +29,46 @@ from touchline.llm.quality import blocks
 SIZE, END_ID = 1024, 2
 #: A length is ranked in so many parts, so that a hot one is spread.
 SHARES = 64
-#: Words whose ids a Python worker remembers.
-CACHE = 300_000
-_PARTING = re.compile(r"(?<=\S) (?=\S)")
+#: Fixed value: how byte-level BPE parts a text before merging.
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Beyond ASCII and the Latin letters.
+_UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7E\u00C0-\u024F]")
 
 
 class WordTokenizer:
-    """Token ids of whole texts as little-endian 32-bit numbers, word by word.
+    """Token ids of whole texts, as little-endian 32-bit numbers, by a byte-level BPE file of ``tokenizers``.
 
-    A single space between other characters always begins a token of its own, so the
-    parts around it can be encoded apart and remembered. Parts with any other white space
-    at their ends are not parted there.
+    The file's own vocabulary and merge order are run by the faster encoder of ``tiktoken``.
+    Both part texts alike where all characters are plain Latin; other texts go to
+    ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.encoder, self.known = Tokenizer.from_file(path), {}
-        self.encoder.encode_special_tokens = True  # such strings in a text are ordinary text
+        self.exact = Tokenizer.from_file(path)
+        self.exact.encode_special_tokens = True  # such strings in a text are ordinary text
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        special = {t["content"] for t in told["added_tokens"]}
+        octet = _octets()
+        ranks = {bytes(octet[c] for c in word): i for word, i in told["model"]["vocab"].items() if word not in special}
+        self.fast = tiktoken.Encoding("from file", pat_str=_PARTS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        new = set().union(*(p[1:] for p in split)) - self.known.keys()
-        odd = {w for w in new if w != w.strip() or not w}
-        if odd:
-            for i, parts in enumerate(split):
-                if not odd.isdisjoint(parts[1:]) or parts[0] != parts[0].rstrip() or not parts[0]:
-                    split[i] = _PARTING.split(texts[i])
-            new = set().union(*(p[1:] for p in split)) - self.known.keys()
-        else:
-            for i, parts in enumerate(split):
-                if parts[0] != parts[0].rstrip() or not parts[0]:
-                    split[i] = _PARTING.split(texts[i])
-                    new.update(w for w in split[i][1:] if w not in self.known)
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = set().union(*(p[1:] for p in split))
-        new = list(new)
-        for word, found in zip(new, self.encoder.encode_batch([f" {w}" for w in new], add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
-        heads = self.encoder.encode_batch([p[0] for p in split], add_special_tokens=False)
-        known = self.known.__getitem__
-        return [np.array(h.ids, "<u4").tobytes() + b"".join(map(known, p[1:])) for h, p in zip(heads, split)]
+        found = [None if _UNUSUAL.search(t) else self.fast.encode_ordinary(t) for t in texts]
+        odd = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(odd, self.exact.encode_batch([texts[i] for i in odd], add_special_tokens=False)):
+            found[i] = ids.ids
+        return [np.array(ids, "<u4").tobytes() for ids in found]
+
+
+def _octets() -> dict[str, int]:
+    """Byte of each character with which byte-level BPE files write bytes: printable ones as themselves, the rest from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
