@@ -153,6 +153,19 @@ def test_chat_history_numbers_long_conversations(spark):
     assert rows(got.where("conv_id = 2").select("position", "role")) == [(1, "a"), (2, "b"), (3, "c")]
 
 
+def test_chat_history_keeps_messages_without_turn_or_conversation(spark):
+    data = [(1, None, "a", "x"), (1, 3, "b", "y"), (None, 1, "c", "z"), (None, None, None, None), (1, 3, "b", "y")]
+    got = retrieval.chat_history(spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string"))
+    assert rows(got.select("conv_id", "position", "turn")) == sorted(
+        [(1, 1, None), (1, 2, 3), (1, 3, 3), (None, 1, None), (None, 2, 1)], key=repr)
+
+
+def test_rows_without_a_vector_are_near_nothing(spark):
+    corpus = spark.createDataFrame([("a", [1.0, 0.0]), ("b", None)], "c string, vector array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "q int, vector array<float>")
+    assert rows(nearest(corpus, asked, ["c"], ["q"], k=3).select("q", "c")) == [(1, "a")]
+
+
 def test_nearest_with_text_ids_and_bounded_slices(spark, monkeypatch):
     from touchline.operators import neighbours
 

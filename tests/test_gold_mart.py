@@ -115,8 +115,10 @@ def test_build_loads_from_files(spark, inputs, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "mart")
     for name, df in inputs.items():
         if df is not None:
-            df.write.option("header", True).csv(str(folder / fv.GOLD_FILES[name].replace("*", "cup_")))
-    counts = jobs.run_gold(spark, str(folder), sinks.parquet_sink(out))
+            df.write.option("header", True).csv(str(folder / fv.GOLD_FILES[name].format(prefix="cup_")))
+    # a file of another name with other columns is not mixed in
+    (folder / "old_matches.csv").write_text("home_team,away_team,match_id\nC,D,m9\n")
+    counts = jobs.run_gold(spark, str(folder), sinks.parquet_sink(out), prefix="cup_")
     assert counts["fact_matches"] == 3 and counts["players_snapshot_gold"] == 0 and len(counts) == 15
     assert spark.read.parquet(f"{out}/_smoke_test").count() == 1
     assert spark.read.parquet(f"{out}/players_snapshot_gold").columns[0] == "player_id"

@@ -10,6 +10,7 @@ from touchline import session
 from touchline.operators import reconcile
 from touchline.plans import jobs
 from touchline.sources import files, sinks, tables
+from touchline.streaming import feeds
 
 
 @pytest.fixture
@@ -39,7 +40,7 @@ def test_require_names_what_is_missing():
 def test_listing(spark, folder):
     got = rows(files.list_files(spark, str(folder)).select("rel_path", "filename", "length", "is_top_level"))
     assert got == [("a.txt", "a.txt", 13, True), ("b.bin", "b.bin", 2560, True),
-                   ("sub/a.txt", "a.txt", 6, False)]
+                   ("empty.txt", "empty.txt", 0, True), ("sub/a.txt", "a.txt", 6, False)]
 
 
 def test_envelope_format(spark, folder):
@@ -84,6 +85,39 @@ def test_files_job_copies_and_cleans_top_level(spark, folder, tmp_path):
     assert (target / "b.bin").read_bytes() == bytes(range(256)) * 10
 
 
+def test_cleanup_keeps_what_the_source_has_even_if_empty(spark, folder, tmp_path):
+    target = tmp_path / "landing"
+    target.mkdir()
+    for name in ("empty.txt", "stale.txt"):
+        (target / name).write_text("x")
+    listed = dict(rows(files.list_files(spark, str(folder)).select("rel_path", "length")))
+    assert listed["empty.txt"] == 0
+    jobs.run_files(spark, str(folder), str(target), cleanup=True)
+    assert (target / "empty.txt").exists() and not (target / "stale.txt").exists()
+    both = spark.createDataFrame([("empty.txt",), ("gone.txt",)], "rel_path string")
+    assert rows(files.delete_files(both, str(target), str(folder))) == [("empty.txt", False), ("gone.txt", True)]
+
+
+def test_files_job_goes_on_after_a_time_limit(spark, tmp_path):
+    source, target, state = (tmp_path / n for n in ("many", "out", "state"))
+    source.mkdir()
+    for i in range(120):
+        (source / f"{i}.txt").write_text(f"content {i}")
+    args = dict(state=str(state), batch_files=1)
+    with pytest.raises(feeds.Unfinished):
+        jobs.run_files(spark, str(source), str(target), timeout_s=0.2, **args)
+    jobs.run_files(spark, str(source), str(target), timeout_s=300, **args)
+    assert {p.name: p.read_text() for p in target.iterdir()} == {f"{i}.txt": f"content {i}" for i in range(120)}
+    assert not state.exists()
+    with pytest.raises(ValueError):
+        jobs.run_files(spark, str(source), str(target), timeout_s=1)
+
+
+def test_facts_are_read_in_parts():
+    parts = sinks.key_ranges("k")
+    assert len(parts) == 16 and sum("IS NULL" in p for p in parts) == 1
+
+
 def test_orphans(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
     b = spark.createDataFrame([(2,), (3,)], "id int")

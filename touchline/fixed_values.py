@@ -116,14 +116,16 @@ SNAPSHOT_SCHEMA = """
     player_name STRING, team STRING, position STRING, goals INT, assists INT,
     goal_involvements INT, minutes_played INT
 """
+# The tournament's files begin with a prefix that the job can change.
+GOLD_PREFIX = "can2025_"
 GOLD_FILES = {
-    "matches": "*matches.csv",
-    "attendance": "*match_attendance.csv",
-    "team_kpis": "*team_kpis.csv",
-    "marketing": "*marketing_daily.csv",
-    "player_match": "*player_match_stats.csv",
-    "standings": "*group_standings_raw.csv",
-    "snapshot": "*players_detailed_stats.csv",
+    "matches": "{prefix}matches.csv",
+    "attendance": "{prefix}match_attendance.csv",
+    "team_kpis": "{prefix}team_kpis.csv",
+    "marketing": "{prefix}marketing_daily.csv",
+    "player_match": "{prefix}player_match_stats.csv",
+    "standings": "group_standings_raw.csv",
+    "snapshot": "players_detailed_stats.csv",
 }
 REQUIRED_GOLD_INPUTS = ["matches", "attendance", "team_kpis"]
 
@@ -155,7 +157,6 @@ CONTENT_TYPE = "application/octet-stream"
 DONE_TYPE = "_DONE_"
 FILES_TOPIC = "data_files"
 PLAYER_TOPIC = "player-data"
-DRAIN_TIMEOUT_S = 180
 
 # Dashboard variables (options and defaults) and panel settings.
 ALL_OPTION = "All"

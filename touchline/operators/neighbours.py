@@ -38,11 +38,12 @@ def nearest(
     """Rows (question id, corpus id, distance, rank) with rank 1..k.
 
     ``metric`` is ``l2`` (squared Euclidean) or ``cosine`` (one minus cosine).
-    Equal distances rank by corpus id; ids are unique on both sides.
+    Equal distances rank by corpus id; ids are unique on both sides. Rows without a
+    vector, on either side, are near nothing.
     """
     qid, cid = list(question_id), list(corpus_id)
-    corpus = corpus.select(*cid, F.col(vector).alias("_cv"))
-    questions = questions.select(*qid, F.col(vector).alias("_qv"))
+    corpus = corpus.where(F.col(vector).isNotNull()).select(*cid, F.col(vector).alias("_cv"))
+    questions = questions.where(F.col(vector).isNotNull()).select(*qid, F.col(vector).alias("_qv"))
     schema = ", ".join(
         [f"{c} {questions.schema[c].dataType.simpleString()}" for c in qid]
         + [f"{c} {corpus.schema[c].dataType.simpleString()}" for c in cid]

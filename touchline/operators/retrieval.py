@@ -109,7 +109,9 @@ def chat_history(messages: DataFrame, block: int = 1024) -> DataFrame:
     """Messages numbered from 1 in turn order within each conversation.
 
     Numbering is done per block of turns and shifted by the size of the blocks
-    before it, so a conversation of any length is spread over many tasks.
+    before it, so a conversation of any length is spread over many tasks. Messages
+    without a turn come first, in a block of their own; those without a conversation
+    form one.
     """
     blocked = messages.withColumn("_block", F.floor(F.col("turn") / block))
     sizes = blocked.groupBy("conv_id", "_block").agg(F.count(F.lit(1)).alias("_n"))
@@ -120,11 +122,12 @@ def chat_history(messages: DataFrame, block: int = 1024) -> DataFrame:
         "conv_id", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     within = Window.partitionBy("conv_id", "_block").orderBy("turn", "role", "text")
+    numbered = blocked.withColumn("_pos", F.row_number().over(within)).alias("m")
+    same = F.col("m.conv_id").eqNullSafe(F.col("o.conv_id")) & F.col("m._block").eqNullSafe(F.col("o._block"))
     return (
-        blocked.withColumn("_pos", F.row_number().over(within))
-        .join(offsets, ["conv_id", "_block"])
+        numbered.join(offsets.alias("o"), same)
         .select(
-            "conv_id",
+            "m.conv_id",
             (F.col("_pos") + F.col("_offset")).cast("bigint").alias("position"),
             "turn", "role", "text",
         )

@@ -64,32 +64,52 @@ def run_performance(
     )
 
 
-def run_gold(spark: SparkSession, folder: str, sink: sinks.Sink, all_snapshots: bool = False) -> dict[str, int]:
+def run_gold(spark: SparkSession, folder: str, sink: sinks.Sink, all_snapshots: bool = False, prefix: str = fv.GOLD_PREFIX) -> dict[str, int]:
     """Gold inputs to the gold mart; the sink is tried before any work."""
     sinks.smoke_test(spark, sink)
-    inputs = tables.read_gold_inputs(spark, folder)
+    inputs = tables.read_gold_inputs(spark, folder, prefix)
     tables.require(inputs)
     typed = {n: tables.stored(df, n) if df is not None else None for n, df in inputs.items()}
     return sinks.load_tables(gold.build(spark, typed, all_snapshots), sink)
 
 
-def run_files(spark: SparkSession, folder: str, target: str, cleanup: bool = False) -> int:
-    """Copy files through the message feed; ``cleanup`` first removes stale top-level files."""
+def run_files(
+    spark: SparkSession, folder: str, target: str, cleanup: bool = False, state: str | None = None,
+    timeout_s: float | None = None, dead_letters: str | None = None, batch_files: int = 64,
+    servers: str | None = None, topic: str = fv.FILES_TOPIC,
+) -> int:
+    """Copy files through the message feed; ``cleanup`` first removes stale top-level files.
+
+    Messages go through the Kafka ``topic`` at ``servers``, else through a folder in
+    ``state``, which also holds how far the feed has come. When ``timeout_s`` strikes,
+    ``Unfinished`` is raised; the same call goes on where that one stopped, without
+    sending the files again. Rejected messages go to ``dead_letters``.
+    """
+    if timeout_s and not state:
+        raise ValueError("a time limit needs a state folder, else the rest could not be landed later")
     if cleanup:
         stale = orphans(
             files.list_files(spark, target).where("is_top_level"),
             files.list_files(spark, folder), ["rel_path"],
         )
-        log.info("deleted %d stale files", files.delete_files(stale, target).where("deleted").count())
-    now_ms = int(time.time() * 1000)
-    topic = scratch_path(spark, fv.FILES_TOPIC)
-    listing = files.list_files(spark, folder, content=True)
-    messages = files.envelopes(listing, F.col("content"), F.lit(now_ms))
-    messages.select("value").write.text(topic)
-    files.done_message(spark, now_ms).select("value").write.mode("append").text(topic)
-    return feeds.land_envelopes(
-        feeds.file_feed(spark, topic), target, scratch_path(spark, "offsets"), fv.DRAIN_TIMEOUT_S
-    )
+        log.info("deleted %d stale files", files.delete_files(stale, target, folder).where("deleted").count())
+    state = state or scratch_path(spark, topic)
+    sent, offsets = f"{state}/messages", f"{state}/offsets"
+    if not files.exists(spark, f"{state}/sent/_SUCCESS"):
+        now_ms = int(time.time() * 1000)
+        messages = files.envelopes(files.list_files(spark, folder, content=True), F.col("content"), F.lit(now_ms))
+        done = files.done_message(spark, now_ms)
+        if servers:
+            feeds.publish_kafka(messages, servers, topic)
+            feeds.publish_kafka(done, servers, topic)
+        else:
+            messages.select("value").write.mode("overwrite").text(sent)
+            done.select("value").write.mode("append").text(sent)
+        spark.range(1).write.mode("overwrite").parquet(f"{state}/sent")
+    feed = feeds.kafka_feed(spark, servers, topic) if servers else feeds.file_feed(spark, sent, batch_files)
+    landed = feeds.land_envelopes(feed, target, offsets, timeout_s, dead_letters or f"{target.rstrip('/')}_rejected")
+    files.remove_folder(spark, f"{state}/sent" if servers else state)
+    return landed
 
 
 def run_panel(
@@ -109,6 +129,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--input")
     parser.add_argument("--output")
     parser.add_argument("--cleanup", action="store_true", help="files: remove stale targets first")
+    parser.add_argument("--state", help="files: folder that keeps how far the feed has come")
+    parser.add_argument("--timeout", type=float, help="files: stop after so many seconds; needs --state")
+    parser.add_argument("--dead-letters", help="files: folder for rejected messages")
+    parser.add_argument("--servers", help="files: Kafka servers to send through")
+    parser.add_argument("--topic", default=fv.FILES_TOPIC, help="files: Kafka topic")
+    parser.add_argument("--prefix", default=fv.GOLD_PREFIX, help="gold: what the names of tournament files begin with")
     parser.add_argument("--all-snapshots", action="store_true", help="gold: keep every KPI snapshot")
     parser.add_argument("--panel", choices=sorted(panels.PANELS), default="country_table")
     parser.add_argument("--position", default=fv.DEFAULT_POSITION)
@@ -119,15 +145,21 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--input is required")
     if args.job == "files" and not args.output:
         parser.error("--output is required")
+    if args.timeout and not args.state:
+        parser.error("--timeout needs --state")
     logging.basicConfig(level=logging.INFO)
     spark = build_session(f"touchline-{args.job}")
     sink = sinks.parquet_sink(args.output) if args.output else sinks.jdbc_sink()
     if args.job == "performance":
         run_performance(spark, args.input, sink)
     elif args.job == "gold":
-        run_gold(spark, args.input, sink, args.all_snapshots)
+        run_gold(spark, args.input, sink, args.all_snapshots, args.prefix)
     elif args.job == "files":
-        run_files(spark, args.input, args.output, args.cleanup)
+        landed = run_files(
+            spark, args.input, args.output, args.cleanup, args.state, args.timeout, args.dead_letters,
+            servers=args.servers, topic=args.topic,
+        )
+        log.info("landed %d files", landed)
     else:
         variables = panels.Variables(args.position, args.max_age, args.min_rating)
         run_panel(spark, args.panel, args.input, variables).show(truncate=False)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
-from touchline.functions.numeric import exact_avg
 from touchline.operators.bands import band, percent_of_range
 from touchline.operators.topk import keep_top_groups, top_n
 
@@ -61,7 +60,7 @@ def total_players(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
 
 
 def avg_rating(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
-    return _stat(shown(view, v), "Avg Performance Rating", exact_avg("performance_rating"))
+    return _stat(shown(view, v), "Avg Performance Rating", F.avg("performance_rating"))
 
 
 def headline_stats(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
@@ -70,7 +69,7 @@ def headline_stats(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
         ("Total Goals", F.sum("goals"), fv.TOTAL_GOALS_STEPS),
         ("Total Assists", F.sum("assists"), fv.TOTAL_ASSISTS_STEPS),
         ("Total Players", F.count_distinct("player_id"), fv.TOTAL_PLAYERS_STEPS),
-        ("Avg Performance Rating", exact_avg("performance_rating"), fv.AVG_RATING_STEPS),
+        ("Avg Performance Rating", F.avg("performance_rating"), fv.AVG_RATING_STEPS),
     ]
     totals = shown(view, v).agg(*[value.cast("double").alias(title) for title, value, _ in stats])
     rows = [
@@ -93,7 +92,7 @@ def _ranked() -> list[Column]:
 
 
 def rating_by_position(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
-    return _grouped(view, v, "position_name", exact_avg("performance_rating")).orderBy(*_ranked())
+    return _grouped(view, v, "position_name", F.avg("performance_rating")).orderBy(*_ranked())
 
 
 def position_count(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
@@ -144,10 +143,10 @@ def country_table(view: DataFrame, v: Variables = DEFAULTS) -> DataFrame:
     sums = {title: F.sum(c).alias(title) for title, c in fv.COUNTRY_TABLE_SUMS.items()}
     table = shown(view, v).groupBy(F.col("country_name").alias("Country")).agg(
         F.count_distinct("player_id").alias("Total Players"),
-        exact_avg("performance_rating").alias("Avg Rating"),
+        F.avg("performance_rating").alias("Avg Rating"),
         sums["Total Goals"],
         sums["Total Assists"],
-        exact_avg("pass_accuracy_pct").alias("Avg Pass Accuracy %"),
+        F.avg("pass_accuracy_pct").alias("Avg Pass Accuracy %"),
         *[c for title, c in sums.items() if title not in ("Total Goals", "Total Assists")],
         F.max("created_at").alias("Updated At"),
     )

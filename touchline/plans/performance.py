@@ -16,7 +16,6 @@ from touchline import fixed_values as fv
 from touchline.functions.calendar import calendar_parts
 from touchline.functions.cleaning import canonical, is_positive, ratio, rollup_category
 from touchline.functions.keys import composite_key, name_key
-from touchline.functions.numeric import exact_avg
 from touchline.operators.dedup import first_by
 from touchline.operators.topk import top_n
 
@@ -149,11 +148,11 @@ def agg_country(fact: DataFrame, countries: DataFrame, run_ts: Column) -> DataFr
         F.count("player_id").alias("total_players"),
         F.sum("goals").alias("total_goals"),
         F.sum("assists").alias("total_assists"),
-        exact_avg("performance_rating").alias("avg_rating"),
+        F.avg("performance_rating").alias("avg_rating"),
         F.sum("minutes_played").alias("total_minutes"),
         F.sum("yellow_cards").alias("total_yellow_cards"),
         F.sum("red_cards").alias("total_red_cards"),
-        exact_avg("pass_accuracy_pct").alias("avg_pass_accuracy"),
+        F.avg("pass_accuracy_pct").alias("avg_pass_accuracy"),
     )
     return totals.join(countries.select("country_id", "country_name"), "country_id").withColumn(
         "created_at", run_ts
@@ -163,11 +162,11 @@ def agg_country(fact: DataFrame, countries: DataFrame, run_ts: Column) -> DataFr
 def agg_position(fact: DataFrame, positions: DataFrame, run_ts: Column) -> DataFrame:
     totals = fact.groupBy("position_id").agg(
         F.count("player_id").alias("total_players"),
-        exact_avg("performance_rating").alias("avg_rating"),
-        exact_avg("goals").alias("avg_goals"),
-        exact_avg("assists").alias("avg_assists"),
-        exact_avg("sprint_speed_kmh").alias("avg_sprint_speed"),
-        exact_avg("distance_run_km").alias("avg_distance_run"),
+        F.avg("performance_rating").alias("avg_rating"),
+        F.avg("goals").alias("avg_goals"),
+        F.avg("assists").alias("avg_assists"),
+        F.avg("sprint_speed_kmh").alias("avg_sprint_speed"),
+        F.avg("distance_run_km").alias("avg_distance_run"),
         F.max("performance_rating").alias("max_rating"),
     )
     return totals.join(positions.select("position_id", "position_name"), "position_id").withColumn(

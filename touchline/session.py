@@ -19,10 +19,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A join side is broadcast only when its measured size is below this.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # Python operators exchange Arrow batches, kept small enough for wide texts.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }
 
 # Settings fixed when a session starts: recording a call site for every

@@ -14,24 +14,67 @@ from pyspark.sql import functions as F
 from touchline import fixed_values as fv
 
 
+LISTED = "path string, length bigint, modified_at timestamp"
+
+
 def list_files(spark: SparkSession, folder: str, content: bool = False) -> DataFrame:
-    """Every file below ``folder``: rel_path, filename, length, is_top_level[, content].
+    """Every file below ``folder``: rel_path, filename, length, modified_at, is_top_level[, content].
 
-    Without ``content`` no file is opened. Empty files are not listed, as the
-    feed does not carry them either.
+    The listing has empty files too and opens none. With ``content`` only files that have
+    some are listed, as the feed carries no empty ones.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    if content:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        files = files.withColumnRenamed("modificationTime", "modified_at")
+    else:
+        files = _listing(spark, folder)
     rel = relative_path(F.col("path"), folder)
     columns = [
         rel.alias("rel_path"),
         F.element_at(F.split(F.col("path"), "/"), -1).alias("filename"),
         F.col("length"),
-        F.col("modificationTime").alias("modified_at"),
+        F.col("modified_at"),
         (F.instr(rel, "/") == 0).alias("is_top_level"),
     ]
     return files.select(*columns, *(["content"] if content else []))
 
 
+def _listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Files below ``folder``, listed by executors: its folders are dealt to tasks, level by level."""
+
+    def walk(deep: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyarrow import fs
+
+            filesystem, _ = _open(folder)
+            for batch in batches:
+                for path in batch.column(0).to_pylist():
+                    found = filesystem.get_file_info(fs.FileSelector(path, recursive=deep))
+                    kept = [i for i in found if deep is False or i.type == fs.FileType.File]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i.path for i in kept], pa.string()),
+                         pa.array([i.size if i.type == fs.FileType.File else -1 for i in kept], pa.int64()),
+                         pa.array([i.mtime for i in kept], pa.timestamp("us", tz="UTC"))],
+                        ["path", "length", "modified_at"])
+        return run
+
+    _, root = _open(folder)
+    top = spark.createDataFrame([(root.rstrip("/"),)], "path string").mapInArrow(walk(False), LISTED)
+    below = top.where("length < 0").select("path").mapInArrow(walk(True), LISTED)
+    return top.where("length >= 0").union(below)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job made for itself."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def relative_path(path: Column, folder: str) -> Column:
     """``path`` below ``folder``, whatever scheme prefix the listing carries."""
     bare = re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", folder).rstrip("/")
@@ -112,15 +155,23 @@ def land_files(files: DataFrame, target: str) -> DataFrame:
     )
 
 
-def delete_files(paths: DataFrame, target: str) -> DataFrame:
-    """Delete ``target``/``rel_path`` for each row; missing files count as deleted."""
+def delete_files(paths: DataFrame, target: str, unless_in: str | None = None) -> DataFrame:
+    """Delete ``target``/``rel_path`` for each row; missing files count as deleted.
+
+    A file that the folder ``unless_in`` has, empty or not, is looked up again and kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileType
+
         fs, root = _open(target)
+        source, source_root = _open(unless_in) if unless_in else (None, "")
         for batch in batches:
             done = []
             for rel in batch.column(0).to_pylist():
                 safe = _inside(rel)
+                if safe and source:
+                    safe = source.get_file_info(posixpath.join(source_root, rel)).type == FileType.NotFound
                 if safe:
                     try:
                         fs.delete_file(posixpath.join(root, rel))
@@ -136,8 +187,9 @@ def delete_files(paths: DataFrame, target: str) -> DataFrame:
 def _open(target: str):
     from pyarrow import fs
 
-    uri = target if re.match(r"^[a-z][a-z0-9+.-]*:", target) else f"file://{posixpath.abspath(target)}"
-    filesystem, root = fs.FileSystem.from_uri(uri)
+    if not re.match(r"^[a-z][a-z0-9+.-]*:", target):
+        return fs.LocalFileSystem(), posixpath.abspath(target)
+    filesystem, root = fs.FileSystem.from_uri(target)
     return filesystem, unquote(root)
 
 

@@ -89,8 +89,8 @@ def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], struct(schema))
 
 
-def read_gold_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame | None]:
-    """All gold inputs by logical name; absent files are None."""
+def read_gold_inputs(spark: SparkSession, folder: str, prefix: str = fv.GOLD_PREFIX) -> dict[str, DataFrame | None]:
+    """All gold inputs by logical name, each from its exact file name; absent files are None."""
     schemas = {
         "matches": fv.MATCH_SCHEMA,
         "attendance": fv.ATTENDANCE_SCHEMA,
@@ -101,7 +101,7 @@ def read_gold_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame |
         "snapshot": fv.SNAPSHOT_SCHEMA,
     }
     return {
-        name: read_csv_optional(spark, f"{folder.rstrip('/')}/{file}", schemas[name])
+        name: read_csv_optional(spark, f"{folder.rstrip('/')}/{file.format(prefix=prefix)}", schemas[name])
         for name, file in fv.GOLD_FILES.items()
     }
 

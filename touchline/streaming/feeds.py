@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +74,15 @@ def table_feed(spark: SparkSession, folder: str, table: str, schema: str, max_fi
 
 # --- control ----------------------------------------------------------------
 
-def drain(writer: DataStreamWriter, timeout_s: float | None = fv.DRAIN_TIMEOUT_S) -> bool:
-    """Process what is there now, at most ``timeout_s``; True when all was read.
+class Unfinished(RuntimeError):
+    """The time limit struck; run again with the same checkpoint to go on."""
 
-    What the time did not allow stays in the checkpoint for the next run.
+
+def drain(writer: DataStreamWriter, timeout_s: float | None = None) -> bool:
+    """Process what is there now, at most ``timeout_s`` if given; True when all was read.
+
+    What the time did not allow stays in the checkpoint for the next run with the same
+    one. Micro-batches that ended are not done again.
     """
     query = writer.trigger(availableNow=True).start()
     try:
@@ -121,24 +127,32 @@ def rejected_messages(decoded: DataFrame) -> DataFrame:
 
 
 def land_envelopes(
-    feed: DataFrame, target: str, checkpoint: str, timeout_s: float | None = fv.DRAIN_TIMEOUT_S,
+    feed: DataFrame, target: str, checkpoint: str, timeout_s: float | None = None,
     dead_letters: str | None = None,
 ) -> int:
     """Write each file of the feed below ``target``; the last version of a path wins.
 
-    Returns the number of files written.
+    Returns the number of files written; raises ``Unfinished`` when the limit struck.
+    The winner of a path is chosen without its content, which is not sorted or shuffled
+    for that.
     """
     landed = 0
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         nonlocal landed
-        decoded = decode_envelopes(rows)
-        newest = latest_by(accepted_files(decoded), ["rel_path"], ["ts_ms", "position"])
-        landed += land_files(newest, target).where("landed").count()
+        decoded = decode_envelopes(rows).persist(StorageLevel.DISK_ONLY)
+        files = accepted_files(decoded).withColumn("_digest", F.xxhash64("content"))
+        keys = ["rel_path", "ts_ms", "position", "_digest"]
+        newest = latest_by(files.select(*keys), ["rel_path"], ["ts_ms", "position"]).select(*keys)
+        winners = files.join(newest, keys, "left_semi").drop("_digest")
+        landed += land_files(winners, target).where("landed").select("rel_path").distinct().count()
         if dead_letters:
             rejected_messages(decoded).write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
+        decoded.unpersist()
 
-    drain(feed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint), timeout_s)
+    done = drain(feed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint), timeout_s)
+    if not done:
+        raise Unfinished(f"{landed} files landed before the limit of {timeout_s} s; run again to land the rest")
     return landed
 
 
@@ -146,7 +160,7 @@ def land_envelopes(
 
 def upsert_feed(
     feed: DataFrame, key: Sequence[str], order: Sequence[str], table: str, checkpoint: str,
-    timeout_s: float | None = fv.DRAIN_TIMEOUT_S,
+    timeout_s: float | None = None,
 ) -> bool:
     """Append the newest row per key of each batch to the log of ``table``.
 
@@ -191,11 +205,15 @@ def player_events(messages: DataFrame) -> DataFrame:
 
 
 def current_players(
-    feed: DataFrame, table: str, checkpoint: str, timeout_s: float | None = fv.DRAIN_TIMEOUT_S
+    feed: DataFrame, table: str, checkpoint: str, timeout_s: float | None = None
 ) -> DataFrame:
-    """Drain the event feed and return the clean latest row of each player."""
+    """Drain the event feed and return the clean latest row of each player.
+
+    Raises ``Unfinished`` when the limit struck, as the rows would not be complete.
+    """
     events = player_events(feed)
     order = ["event_ts"]
-    upsert_feed(events, fv.PLAYER_KEY, order, table, checkpoint, timeout_s)
+    if not upsert_feed(events, fv.PLAYER_KEY, order, table, checkpoint, timeout_s):
+        raise Unfinished(f"the limit of {timeout_s} s struck; run again with the same checkpoint")
     newest = current_rows(feed.sparkSession, table, events.schema, fv.PLAYER_KEY, order)
     return normalise_players(newest)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions.numeric import exact_sum
+from touchline.workload.numeric import exact_sum
 from touchline.plans import performance
 from touchline.workload.tables import read_table
 
@@ -239,13 +239,13 @@ def snapshot_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exact(expression: str) -> str:
-    """SQL of ``functions.numeric.exact_sum``."""
+    """SQL of ``numeric.exact_sum``."""
     return f"sum(({expression})::DECIMAL(24,6))::DOUBLE"
 
 
 def mean(expression: str) -> str:
-    """SQL of ``functions.numeric.exact_avg``."""
-    return f"{exact(expression)} / nullif(count({expression}), 0)"
+    """SQL of a mean as ``numeric.comparable`` shows it."""
+    return f"floor(avg(({expression})::DOUBLE) * 10000 + 0.5001) / 10000"
 
 
 def key(*columns: str) -> str:

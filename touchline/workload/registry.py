@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.session import configure
+from touchline.workload.numeric import comparable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,12 +17,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its name, with the SQL that gives its result."""
+def query(sql: str | None = None, means: tuple[str, ...] = ()) -> Callable[[Query], Query]:
+    """Register a function under its name, with the SQL that gives its result.
+
+    ``means`` are columns shown rounded, as the last digits of a mean depend on row order.
+    """
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain_types(fn(configure(spark), sf_dir))
+            out = fn(configure(spark), sf_dir)
+            return plain_types(out.withColumns({c: comparable(F.col(f"`{c}`")) for c in means}) if means else out)
 
         QUERIES[fn.__name__] = run
         if sql:

@@ -70,7 +70,7 @@ SELECT country_id, country_name, count(*) AS total_players, sum(goals)::BIGINT A
   sum(red_cards)::BIGINT AS total_red_cards, {mean("pass_accuracy_pct")} AS avg_pass_accuracy,
   max(created_at) AS created_at
 FROM star GROUP BY country_id, country_name
-""")
+""", means=("avg_rating", "avg_pass_accuracy"))
 def agg_country(spark, sf):
     clean = clean_players(spark, sf)
     fact = performance.fact_performance(clean, run_ts())
@@ -83,7 +83,7 @@ SELECT position_id, position_name, count(*) AS total_players, {mean("performance
   {mean("goals")} AS avg_goals, {mean("assists")} AS avg_assists, {mean("sprint_speed_kmh")} AS avg_sprint_speed,
   {mean("distance_run_km")} AS avg_distance_run, max(performance_rating) AS max_rating, max(created_at) AS created_at
 FROM star GROUP BY position_id, position_name
-""")
+""", means=("avg_rating", "avg_goals", "avg_assists", "avg_sprint_speed", "avg_distance_run"))
 def agg_position(spark, sf):
     clean = clean_players(spark, sf)
     fact = performance.fact_performance(clean, run_ts())
@@ -125,7 +125,7 @@ def panel_total_players(spark, sf):
 
 @query(f"""
 WITH {SHOWN_SQL} SELECT 0 AS time, 'Avg Performance Rating' AS metric, {mean("performance_rating")} AS value FROM shown
-""")
+""", means=("value",))
 def panel_avg_rating(spark, sf):
     return panels.avg_rating(view(spark, sf))
 
@@ -133,7 +133,7 @@ def panel_avg_rating(spark, sf):
 @query(f"""
 WITH {SHOWN_SQL}
 SELECT 0 AS time, position_name AS metric, {mean("performance_rating")} AS value FROM shown GROUP BY position_name
-""")
+""", means=("value",))
 def panel_rating_by_position(spark, sf):
     return panels.rating_by_position(view(spark, sf))
 
@@ -211,7 +211,7 @@ SELECT country_name AS "Country", count(DISTINCT player_id) AS "Total Players",
   sum(interceptions)::BIGINT AS "Interceptions", sum(yellow_cards)::BIGINT AS "Yellow Cards",
   sum(red_cards)::BIGINT AS "Red Cards", max(created_at) AS "Updated At"
 FROM shown GROUP BY country_name ORDER BY "Avg Rating" DESC, "Country" LIMIT 15
-""")
+""", means=("Avg Rating", "Avg Pass Accuracy %"))
 def panel_country_table(spark, sf):
     return panels.country_table(view(spark, sf))
 
@@ -245,7 +245,7 @@ UNION ALL SELECT 'Total Assists', a, {_ladder("a", fv.TOTAL_ASSISTS_STEPS)} FROM
 UNION ALL SELECT 'Total Players', p, {_ladder("p", fv.TOTAL_PLAYERS_STEPS)} FROM stats
 UNION ALL SELECT 'Avg Performance Rating', r, {_ladder("r", fv.AVG_RATING_STEPS)} FROM stats
 UNION ALL SELECT metric, value, {_ladder("percent", fv.COUNTRY_GAUGE_PERCENT_STEPS)} FROM ranged
-""")
+""", means=("value",))
 def threshold_band(spark, sf):
     star = view(spark, sf)
     gauge = panels.with_percent_band(panels.top_countries(star))

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import calendar, cleaning
 from touchline.functions.keys import composite_key, name_key
-from touchline.functions.numeric import exact_sum
 from touchline.operators import bands, dedup, quality, reconcile, topk
-from touchline.plans import performance
 from touchline.operators.lookup import lookup
-from touchline.sources import files
+from touchline.plans import performance
+from touchline.sources import files, sinks
 from touchline.sources.tables import read_parquet_optional
 from touchline.workload import frames
 from touchline.workload.frames import exact, key
+from touchline.workload.numeric import exact_sum
 from touchline.workload.registry import query
-from touchline.workload.tables import read_spread, read_table
+from touchline.workload.tables import SCHEMAS, read_spread, read_table
 
 REGION_SCHEMA = "r_regionkey INT, r_name STRING"
 
@@ -41,10 +44,16 @@ def scan_optional(spark, sf):
     return present.unionByName(absent)
 
 
-@query()
+@query("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{t}.parquet' AS filename, count(*) AS n_rows FROM {t}" for t in SCHEMAS))
 def file_inventory(spark, sf):
-    """Files of the data folder; only the listing is read."""
-    return files.list_files(spark, sf).select("rel_path", "filename", "length", "is_top_level")
+    """Rows of every file of every table, counted while the files are read."""
+    counted = [
+        read_table(spark, sf, name).groupBy(F.col("_metadata.file_name").alias("filename"))
+        .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "filename", "n_rows")
+        for name in SCHEMAS
+    ]
+    return reduce(DataFrame.unionByName, counted)
 
 
 @query("""
@@ -69,21 +78,15 @@ def reconcile_orphans(spark, sf):
     return reconcile.orphans(docs, read_table(spark, sf, "labels"), ["doc_id"])
 
 
-@query("""
-SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer
-UNION ALL SELECT 'orders', count(*) FROM orders
-UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-UNION ALL SELECT 'events', count(*) FROM events
-UNION ALL SELECT 'documents', count(*) FROM documents
-""")
+@query("\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in SCHEMAS))
 def run_metrics(spark, sf):
-    """Row counts of a run's inputs; no column is read."""
-    counted = None
-    for name in ("customer", "orders", "lineitem", "events", "documents"):
-        one = read_table(spark, sf, name).agg(F.count(F.lit(1)).alias("n_rows"))
-        one = one.select(F.lit(name).alias("table_name"), "n_rows")
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+    """Rows that a load of all tables reports; the sink reads everything and keeps nothing."""
+
+    def sink(df, table):
+        df.write.format("noop").mode("overwrite").save()
+
+    written = sinks.load_tables({name: read_table(spark, sf, name) for name in SCHEMAS}, sink)
+    return spark.createDataFrame(sorted(written.items()), "table_name string, n_rows long")
 
 
 # --- quality ----------------------------------------------------------------
