@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from touchline.session import shared_dir
 from touchline import fixed_values as fv
 from touchline.plans import gold, jobs
 from touchline.sources import sinks, tables
@@ -121,6 +124,10 @@ def test_build_loads_from_files(spark, inputs, tmp_path):
     counts = jobs.run_gold(spark, str(folder), sinks.parquet_sink(out), prefix="cup_")
     assert counts["fact_matches"] == 3 and counts["players_snapshot_gold"] == 0 and len(counts) == 15
     assert spark.read.parquet(f"{out}/_smoke_test").count() == 1
+    scratch = Path(shared_dir(spark)) / "touchline"
+    before = {p.name for p in scratch.iterdir()}
+    jobs.run_gold(spark, str(folder), sinks.parquet_sink(out), prefix="cup_")
+    assert {p.name for p in scratch.iterdir()} == before
     assert spark.read.parquet(f"{out}/players_snapshot_gold").columns[0] == "player_id"
 
 

@@ -73,6 +73,13 @@ def test_upsert_over_batches_equals_batch_run(spark, tmp_path):
     again = spark.read.schema(schema).parquet(str(table / "batch_id=0")).collect()
     spark.createDataFrame(again, schema).write.mode("overwrite").parquet(str(table / "batch_id=0"))
     assert rows(feeds.current_rows(spark, str(table), schema, ["k"], ["at"])) == rows(batch)
+    # Compacted, the log is one snapshot with the same rows, and later batches go on top.
+    assert rows(feeds.compact(spark, str(table), schema, ["k"], ["at"])) == rows(batch)
+    assert [p.name for p in table.iterdir()] == ["snapshot=3"]
+    spark.createDataFrame([("k1", -1, 99)], schema).write.parquet(str(table / "batch_id=4"))
+    later = feeds.compact(spark, str(table), schema, ["k"], ["at"])
+    assert later.where("k = 'k1'").first()["at"] == 99 and later.count() == 7
+    assert [p.name for p in table.iterdir()] == ["snapshot=4"]
     snapshot = spark.createDataFrame([("k0", -1, 1000), ("old", 1, 1)], schema)
     merged = dict((r[0], r[1]) for r in rows(feeds.current_rows(spark, str(table), schema, ["k"], ["at"], snapshot)))
     assert merged["k0"] == -1 and merged["old"] == 1 and len(merged) == 8

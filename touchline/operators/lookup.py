@@ -16,7 +16,8 @@ def lookup(
 ) -> DataFrame:
     """Left join of ``rows`` to ``dimension`` on the equally named ``key``.
 
-    ``vary`` are columns that differ within a key. They give each row one of
+    A dimension that Spark knows to be small enough to broadcast is joined as it is.
+    Else ``vary`` are columns that differ within a key. They give each row one of
     ``salts`` shares of its key, and the dimension is repeated per share, so the
     rows of a hot key, and those without a key, meet in several tasks. The share
     is part of the join key, therefore both sides are shuffled for this join and
@@ -24,6 +25,8 @@ def lookup(
     straight from an aggregation would otherwise keep that from happening. Use
     ``salts=1`` for a dimension too large to repeat.
     """
+    if broadcastable(dimension):
+        return rows.join(dimension, list(key), "left")
     share = F.pmod(F.xxhash64(*vary), F.lit(salts)).cast("int")
     shares = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
@@ -31,3 +34,13 @@ def lookup(
         .join(dimension.withColumn("_share", shares), [*key, "_share"], "left")
         .drop("_share")
     )
+
+
+def broadcastable(df: DataFrame) -> bool:
+    """True when the planned size of ``df`` is below the session's broadcast limit."""
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.startswith("-"):
+        return False
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= most

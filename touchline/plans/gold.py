@@ -229,8 +229,14 @@ def players_snapshot(raw: DataFrame, teams: DataFrame) -> DataFrame:
     )
 
 
-def build(spark: SparkSession, inputs: Mapping[str, DataFrame | None], all_snapshots: bool = False) -> dict[str, DataFrame]:
-    """Every gold table from raw inputs; absent optional inputs give empty tables."""
+def build(
+    spark: SparkSession, inputs: Mapping[str, DataFrame | None], all_snapshots: bool = False,
+    made: list[str] | None = None,
+) -> dict[str, DataFrame]:
+    """Every gold table from raw inputs; absent optional inputs give empty tables.
+
+    ``made`` gets the scratch folders that the tables are read from.
+    """
     require(inputs)
     schemas = {
         "marketing": fv.MARKETING_SCHEMA, "player_match": fv.PLAYER_MATCH_SCHEMA,
@@ -247,9 +253,9 @@ def build(spark: SparkSession, inputs: Mapping[str, DataFrame | None], all_snaps
     player_match = typed_player_match(raw["player_match"])
     # Stored because several joins use them: with sizes known beforehand, small
     # sides are broadcast and the facts are not shuffled.
-    teams = stored(dim_team(kpis), "dim_team")
-    stadiums = stored(dim_stadium(matches), "dim_stadium")
-    sides = kpis if all_snapshots else stored(latest_kpis(kpis), "latest_kpis")
+    teams = stored(dim_team(kpis), "dim_team", made)
+    stadiums = stored(dim_stadium(matches), "dim_stadium", made)
+    sides = kpis if all_snapshots else stored(latest_kpis(kpis), "latest_kpis", made)
     players = dim_player(player_match)
     return {
         "dim_team": teams,

@@ -44,7 +44,16 @@ def run_performance(
     raw = tables.read_csv(spark, path, fv.PLAYER_SCHEMA)
     if not validate(raw):
         log.warning("data quality issues found, continuing")
-    clean = tables.stored(performance.clean_players(raw), "clean_players")
+    made: list[str] = []
+    try:
+        return _load_performance(spark, tables.stored(performance.clean_players(raw), "clean_players", made), sink, run_ts, date_id)
+    finally:
+        files.remove_folders(spark, made)
+
+
+def _load_performance(
+    spark: SparkSession, clean: DataFrame, sink: sinks.Sink, run_ts: Column, date_id: int
+) -> dict[str, int]:
     players = performance.dim_player(clean, run_ts)
     countries = performance.dim_country(clean, run_ts)
     positions = performance.dim_position(clean, run_ts)
@@ -69,8 +78,12 @@ def run_gold(spark: SparkSession, folder: str, sink: sinks.Sink, all_snapshots:
     sinks.smoke_test(spark, sink)
     inputs = tables.read_gold_inputs(spark, folder, prefix)
     tables.require(inputs)
-    typed = {n: tables.stored(df, n) if df is not None else None for n, df in inputs.items()}
-    return sinks.load_tables(gold.build(spark, typed, all_snapshots), sink)
+    made: list[str] = []
+    try:
+        typed = {n: tables.stored(df, n, made) if df is not None else None for n, df in inputs.items()}
+        return sinks.load_tables(gold.build(spark, typed, all_snapshots, made), sink)
+    finally:
+        files.remove_folders(spark, made)
 
 
 def run_files(
@@ -108,7 +121,7 @@ def run_files(
         spark.range(1).write.mode("overwrite").parquet(f"{state}/sent")
     feed = feeds.kafka_feed(spark, servers, topic) if servers else feeds.file_feed(spark, sent, batch_files)
     landed = feeds.land_envelopes(feed, target, offsets, timeout_s, dead_letters or f"{target.rstrip('/')}_rejected")
-    files.remove_folder(spark, f"{state}/sent" if servers else state)
+    files.remove_folders(spark, [f"{state}/sent" if servers else state])
     return landed
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -69,10 +69,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that a job made for itself."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders that a job made for itself."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def relative_path(path: Column, folder: str) -> Column:

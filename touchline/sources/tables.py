@@ -35,13 +35,17 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """The rows of ``df``, written to the shared folder and read back.
 
+    The folder is added to ``made``, for the job to remove when it ends.
+
     Readers scan only the columns they need, a lost executor does not recompute
     what came before, and Spark knows the size when it picks a join.
     """
     path = scratch_path(df.sparkSession, name)
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -20,8 +19,8 @@ from touchline import fixed_values as fv
 from touchline.operators.dedup import latest_by
 from touchline.plans.performance import keyed_players, normalise_players
 from touchline.schemas import struct
-from touchline.sources.files import land_files
-from touchline.sources.tables import empty, missing_path
+from touchline.sources.files import exists, land_files, remove_folders
+from touchline.sources.tables import empty
 
 
 # --- sources ----------------------------------------------------------------
@@ -179,20 +178,45 @@ def current_rows(
     spark: SparkSession, table: str, schema, key: Sequence[str], order: Sequence[str],
     base: DataFrame | None = None,
 ) -> DataFrame:
-    """Newest row per key over the log and an optional earlier snapshot."""
+    """Newest row per key over the last snapshot, the log since then and an optional ``base``."""
     fields = struct(schema)
-    try:
-        log = spark.read.schema(fields).parquet(f"{table}/batch_id=*")
-    except AnalysisException as error:
-        if not missing_path(error):
-            raise
-        log = empty(spark, fields)
+    newest, batches, _ = _parts(spark, table)
+    paths = [f"{table}/snapshot={newest}"] * (newest >= 0) + [f"{table}/batch_id={b}" for b in batches]
+    log = spark.read.schema(fields).parquet(*paths) if paths else empty(spark, fields)
     rows = log.select(*fields.names)
     if base is not None:
         rows = rows.unionByName(base.select(*fields.names))
     return latest_by(rows, key, order)
 
 
+def compact(spark: SparkSession, table: str, schema, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Turn the log of ``table`` into one snapshot of the newest rows; returns it.
+
+    The snapshot is written beside the log under the number of the last batch it holds,
+    complete only with its success marker; then the batches it holds and older snapshots
+    are removed. Run again after a failure it ends in the same state, and a reader in
+    between sees rows twice at most, which the newest-row rule absorbs.
+    """
+    newest, batches, snapshots = _parts(spark, table)
+    if batches:
+        held = f"{table}/snapshot={max(batches)}"
+        current_rows(spark, table, schema, key, order).write.mode("overwrite").parquet(held)
+        remove_folders(spark, [f"{table}/snapshot={s}" for s in snapshots if s < max(batches)])
+        remove_folders(spark, [f"{table}/batch_id={b}" for b in batches])
+    return current_rows(spark, table, schema, key, order)
+
+
+def _parts(spark: SparkSession, table: str) -> tuple[int, list[int], list[int]]:
+    """Last complete snapshot (-1: none), batches after it, and all snapshots."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(table)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
+    numbers = lambda kind: sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{kind}="))
+    snapshots = numbers("snapshot")
+    newest = max((s for s in snapshots if exists(spark, f"{table}/snapshot={s}/_SUCCESS")), default=-1)
+    return newest, [b for b in numbers("batch_id") if b > newest], snapshots
+
+
 # --- player events ----------------------------------------------------------
 
 EVENT_SCHEMA = fv.PLAYER_SCHEMA + ", Timestamp STRING"
