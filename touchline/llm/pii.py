@@ -23,7 +23,11 @@ DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/
 CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IP = r"(?<![\w.-])(?:\d{1,3}\.){3}\d{1,3}(?![\w-]|\.\d)"
 IBAN = r"(?<!\w)[A-Z]{2}\d{13,32}(?!\w)"
-FORMS = "|".join([EMAIL, PHONE, SSN, DATE, CARD, IP, IBAN])
+FORMS = "|".join([PHONE, SSN, DATE, IP, IBAN])
+#: Where a card may start and end beside other numbers, and its written groupings; the longer form of a start apart.
+EDGES = r"(?<![\w.]|[^\d]-|^-)", r"(?!\w|-(?!\d))"
+GROUPED = [r"\d{13,19}|\d{4}([ -])(?:\d{4}\2\d{4}\2\d{4}|\d{6}\2\d{4,5}|\d{3}\2\d{3}\2\d{3})", r"\d{4}([ -])\d{4}\2\d{4}\2\d{4}\2\d{1,3}"]
+COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Days 1800-01-01 to 2199-12-31: 400 years repeat, 146,097 days, 189 x 773.
 FIRST_DAY, LAST_DAY, WEEKS, DAYS = "1800-01-01", "2199-12-31", 189, 773
 
@@ -108,7 +112,10 @@ def card(value: Column, key: str) -> Column:
 
 
 def phone(value: Column, key: str) -> Column:
-    """Area, exchange and line of a ten-digit number; both first digits stay in 2 to 9, or in 0 to 1. A leading +1 stays."""
+    """Area, exchange and line of a ten-digit number; both first digits stay in 2 to 9, or in 0 to 1. A leading 1 or +1 stays.
+
+    Of other countries' numbers the code and the first digit after it stay.
+    """
     def body(d: Column) -> Column:
         area, exchange, line = (_number(F.substring(d, a, n)) for a, n in ((1, 3), (4, 3), (7, 4)))
         low = lambda n: F.when(n < 200, 0).otherwise(200)
@@ -117,9 +124,13 @@ def phone(value: Column, key: str) -> Column:
                         many(area), many(exchange) * 10_000, key, "phone")
         return let(image, lambda x: F.concat(
             _padded(x["l"] + low(area), 3), _padded(F.floor(x["r"] / 10_000) + low(exchange), 3), _padded(x["r"] % 10_000, 4)))
-    prefix = F.when(value.startswith("+1"), F.lit("+1")).otherwise(F.lit(""))
-    return let(F.substring(value, F.length(prefix) + F.lit(1), F.length(value)),
-               lambda v: F.concat(prefix, _fill(v, body(_digits(v)))))
+    prefix = F.regexp_extract(value, r"^\+1|^1(?=[ .-]?[(2-9])", 0)
+    ten = let(F.substring(value, F.length(prefix) + F.lit(1), F.length(value)),
+              lambda v: F.when(F.length(_digits(v)) == 10, F.concat(prefix, _fill(v, body(_digits(v))))))
+    def abroad(code: Column) -> Column:
+        digits = F.substring(_digits(value), F.length(code) + F.lit(1), F.lit(15))
+        return let(digits, lambda d: _fill(value, F.concat(code, F.substring(d, 1, 1), permute_digits(F.substring(d, F.lit(2), F.length(d)), key, "abroad"))))
+    return F.coalesce(ten, let(F.regexp_extract(value, COUNTRY, 1), abroad))
 
 
 def ssn(value: Column, key: str) -> Column:
@@ -148,7 +159,7 @@ def ip(value: Column, key: str) -> Column:
 
 
 def date(value: Column, key: str) -> Column:
-    """A real day from 1800 to 2199, written year-month-day or month/day/year or, if only that is one, day/month/year."""
+    """A real day from 1800 to 2199, written year-month-day, day.month.year or month/day/year or, if only that is one, day/month/year."""
     def moved(day: Column, pattern: str) -> Column:
         at = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
         image = feistel(F.floor(at / DAYS), at % DAYS, F.lit(WEEKS), F.lit(DAYS), key, "date")
@@ -157,20 +168,54 @@ def date(value: Column, key: str) -> Column:
     part = lambda a, n: F.substring(value, a, n)
     day = lambda y, m, d: F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-MM-dd")).cast("date")
     iso, us, eu = day(part(1, 4), part(6, 2), part(9, 2)), day(part(7, 4), part(1, 2), part(4, 2)), day(part(7, 4), part(4, 2), part(1, 2))
-    return F.when(value.contains("-"), moved(iso, "yyyy-MM-dd")).otherwise(F.coalesce(moved(us, "MM/dd/yyyy"), moved(eu, "dd/MM/yyyy")))
+    return F.when(value.contains("-"), moved(iso, "yyyy-MM-dd")).when(value.contains("."), moved(eu, "dd.MM.yyyy")).otherwise(F.coalesce(moved(us, "MM/dd/yyyy"), moved(eu, "dd/MM/yyyy")))
+
+
+def _rest(number: Column) -> Column:
+    """A string of digits modulo 97."""
+    return F.aggregate(F.filter(F.split(number, ""), lambda c: c != ""), F.lit(0), lambda a, c: (a * 10 + c.cast("int")) % 97)
+
+
+def _country(code: Column) -> Column:
+    return F.concat(*((F.ascii(F.substring(code, i, 1)) - 55).cast("string") for i in (1, 2)))
+
+
+def is_iban(value: Column) -> Column:
+    """Whether the check digits of a country and digits, without spaces, are right."""
+    return _rest(F.concat(F.substring(value, F.lit(5), F.length(value)), _country(value), F.substring(value, 3, 2))) == 1
 
 
 def iban(value: Column, key: str) -> Column:
-    """Country and digits; the account is permuted and the two check digits are made anew (modulo 97)."""
-    letters = lambda c: F.concat(*((F.ascii(F.substring(c, i, 1)) - 55).cast("string") for i in (1, 2)))
-    rest = lambda n: F.aggregate(F.filter(F.split(n, ""), lambda c: c != ""), F.lit(0), lambda a, c: (a * 10 + c.cast("int")) % 97)
+    """Country and digits; the account is permuted and the two check digits are made anew (modulo 97). Spaces stay."""
     def body(v: Column) -> Column:
-        country, check, account = F.substring(v, 1, 2), F.substring(v, 3, 2), F.substring(v, F.lit(5), F.length(v))
-        valid = rest(F.concat(account, letters(country), check)) == 1
+        country, account = F.substring(v, 1, 2), F.substring(v, F.lit(5), F.length(v))
         made = let(permute_digits(account, key, "iban"), lambda a: F.concat(
-            country, _padded(98 - rest(F.concat(a, letters(country), F.lit("00"))), 2), a))
-        return F.when(valid, made)
-    return let(value, body)
+            _padded(98 - _rest(F.concat(a, _country(country), F.lit("00"))), 2), a))
+        return F.when(is_iban(v), _fill(value, made))
+    return let(F.replace(value, F.lit(" "), F.lit("")), body)
+
+
+def is_card(value: Column) -> Column:
+    return let(_digits(value), lambda d: (luhn_sum(d) % 10 == 0) & ~d.rlike("^0+$"))
+
+
+def checked(text: Column) -> Column:
+    """Valid cards of a text as they are written, whatever numbers stand beside them; longer ones first."""
+    found = [F.regexp_extract_all(text, F.lit(f"{EDGES[0]}(?=({g}){EDGES[1]})"), F.lit(1)) for g in GROUPED]
+    grouped, loose = F.filter(F.concat(*found), is_card), F.filter(F.regexp_extract_all(text, F.lit(CARD), F.lit(0)), is_card)
+    # digits in any grouping count as a whole, unless a card as it is usually written is among them
+    cards = let(grouped, lambda g: F.concat(g, F.filter(loose, lambda v: ~F.exists(g, lambda x: v.contains(x)))))
+    both = F.array_distinct(cards)
+    by_length = F.array_sort(F.transform(both, lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v"))))
+    return F.transform(by_length, lambda x: x["v"])
+
+
+def forms(text: Column) -> Column:
+    """The pattern of all that is looked for in a text: its checked values as they are, everything else by form."""
+    listed = let(checked(text), lambda c: F.when(F.size(c) > 0, F.concat(
+        F.lit(f"{EDGES[0]}(?:"), F.array_join(c, "|"), F.lit(f"){EDGES[1]}|"))).otherwise(F.lit("")))
+    many = text.rlike(r"\d(?:[ -]?\d){12}")
+    return F.concat(F.lit(EMAIL + "|"), F.when(many, listed).otherwise(F.lit("")), F.lit(FORMS))
 
 
 def email(value: Column, key: str) -> Column:
@@ -197,9 +242,9 @@ def pseudonym(value: Column, key: str) -> Column:
     bare = r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"
     made = (
         F.when(value.contains("@"), email(value, key))
-        .when(value.startswith("+1") | value.rlike(r"^[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}$"), phone(value, key))
+        .when(value.rlike(r"^\+|^(1[ .-]?)?(\([0-9]{3}\) ?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[.-][0-9]{4}$"), phone(value, key))
         .when(value.rlike(bare), ssn(value, key))
-        .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$|^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), date(value, key))
+        .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$|^[0-9]{2}([/.])[0-9]{2}\1[0-9]{4}$"), date(value, key))
         .when(value.rlike(r"^([0-9]{1,3}[.]){3}[0-9]{1,3}$"), ip(value, key))
         .when(value.rlike("^[A-Z]"), iban(value, key))
         .otherwise(card(value, key)))
@@ -208,17 +253,18 @@ def pseudonym(value: Column, key: str) -> Column:
 
 def hidden(text: Column, key: str) -> Column:
     """Struct (text, found): the text with pseudonyms, and how many values were replaced."""
-    between, matches = F.split(text, FORMS), F.regexp_extract_all(text, F.lit(FORMS), F.lit(0))
-    fresh = let(matches, lambda m: F.transform(m, lambda v: pseudonym(v, key)))
     def body(s: Column) -> Column:
         pieces = F.zip_with(s["b"], s["f"], lambda b, v: F.concat(b, F.coalesce(v, F.lit(""))))
         changed = F.zip_with(s["m"], s["f"], lambda a, b: (a != b).cast("int"))
         return F.struct(F.array_join(pieces, "").alias("text"),
                         F.aggregate(changed, F.lit(0), lambda a, b: a + b).cast("long").alias("found"))
-    parts = F.struct(between.alias("b"), matches.alias("m"), fresh.alias("f"))
+    def parts(pattern: Column) -> Column:
+        matches = F.regexp_extract_all(text, pattern, F.lit(0))
+        return let(matches, lambda m: F.struct(F.split(text, pattern).alias("b"), m.alias("m"),
+                                               F.transform(m, lambda v: pseudonym(v, key)).alias("f")))
     plain = F.struct(text.alias("text"), F.lit(0).cast("long").alias("found"))
     # nothing that is looked for does without a digit or an @
-    return F.when(text.rlike("[0-9@]"), let(parts, body)).otherwise(plain)
+    return F.when(text.rlike("[0-9@]"), let(let(forms(text), parts), body)).otherwise(plain)
 
 
 def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
