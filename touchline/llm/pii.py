@@ -17,9 +17,13 @@ DEFAULT_KEY = "touchline-pseudonyms"
 
 #: Forms of what is looked for; which one a match is, is told by its shape.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-PHONE = r"\+1 \(\d{3}\) \d{3}-\d{4}(?!\d)|(?<![\d.-])[2-9]\d{2}-[2-9]\d{2}-\d{4}(?![\d-])"
+#: Ten digits with or without +1, and a plus with a country code and 7 to 15 digits in all.
+PHONE = (r"\+1 \(\d{3}\) \d{3}-\d{4}(?!\d)|(?<![\d.-])[2-9]\d{2}-[2-9]\d{2}-\d{4}(?![\d-])"
+         r"|(?<![\w.+-])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[.-])[2-9]\d{2}[.-]\d{4}(?![\w-]|\.\d)"
+         r"|(?<![\w+])\+[1-9](?:[ .-]?\(?\d\)?){6,14}(?!\w|[.-]\d)")
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
+DATE = (r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
+        r"|(?<![\w.])\d{2}\.\d{2}\.\d{4}(?!\w|\.\d)")
 CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
 IP = r"(?<![\w.-])(?:\d{1,3}\.){3}\d{1,3}(?![\w-]|\.\d)"
 IBAN = r"(?<!\w)[A-Z]{2}\d{13,32}(?!\w)"
@@ -27,6 +31,8 @@ FORMS = "|".join([PHONE, SSN, DATE, IP, IBAN])
 #: Where a card may start and end beside other numbers, and its written groupings; the longer form of a start apart.
 EDGES = r"(?<![\w.]|[^\d]-|^-)", r"(?!\w|-(?!\d))"
 GROUPED = [r"\d{13,19}|\d{4}([ -])(?:\d{4}\2\d{4}\2\d{4}|\d{6}\2\d{4,5}|\d{3}\2\d{3}\2\d{3})", r"\d{4}([ -])\d{4}\2\d{4}\2\d{4}\2\d{1,3}"]
+#: An IBAN in groups of four with whatever groups of digits follow it.
+PRINTED = r"(?<!\w)[A-Z]{2}\d{2}(?: \d{4}){2,7}(?: \d{1,4})?(?!\w)"
 COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Days 1800-01-01 to 2199-12-31: 400 years repeat, 146,097 days, 189 x 773.
 FIRST_DAY, LAST_DAY, WEEKS, DAYS = "1800-01-01", "2199-12-31", 189, 773
@@ -200,12 +206,15 @@ def is_card(value: Column) -> Column:
 
 
 def checked(text: Column) -> Column:
-    """Valid cards of a text as they are written, whatever numbers stand beside them; longer ones first."""
+    """Valid cards and printed IBANs of a text as they are written, whatever numbers stand beside them; longer ones first."""
     found = [F.regexp_extract_all(text, F.lit(f"{EDGES[0]}(?=({g}){EDGES[1]})"), F.lit(1)) for g in GROUPED]
     grouped, loose = F.filter(F.concat(*found), is_card), F.filter(F.regexp_extract_all(text, F.lit(CARD), F.lit(0)), is_card)
     # digits in any grouping count as a whole, unless a card as it is usually written is among them
     cards = let(grouped, lambda g: F.concat(g, F.filter(loose, lambda v: ~F.exists(g, lambda x: v.contains(x)))))
-    both = F.array_distinct(cards)
+    printed = F.transform(F.regexp_extract_all(text, F.lit(PRINTED), F.lit(0)), lambda v: F.split(v, " "))
+    shorter = F.flatten(F.transform(printed, lambda g: F.transform(F.sequence(F.lit(3), F.size(g)), lambda n: F.array_join(F.slice(g, F.lit(1), n), " "))))
+    ibans = F.filter(shorter, lambda v: let(F.replace(v, F.lit(" "), F.lit("")), lambda d: (F.length(d) >= 15) & is_iban(d)))
+    both = F.array_distinct(F.concat(cards, ibans))
     by_length = F.array_sort(F.transform(both, lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v"))))
     return F.transform(by_length, lambda x: x["v"])
 
