@@ -104,7 +104,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(hard)
     read = chat.parse_conversations(chat.format_conversations(turns))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learnt = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    learnt = F.array_join(F.transform("loss_spans", lambda s: chat.unescape(F.substring(
+        F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
     return read.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
