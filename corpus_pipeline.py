@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import decontaminate, near_copies, packing, pii, quality
+from touchline.llm import decontaminate, packing, pii, quality, simhash
 from touchline.llm.common import table
 from touchline.session import scratch_path
 
@@ -22,8 +22,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def single_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, Jaccard 0.8 or more): the one with the smallest id."""
-    return near_copies.one_of_each(docs)
+    """One document of each group whose SimHash fingerprints (four-word shingles) link at 4 bits or fewer: the one with the smallest id."""
+    return simhash.one_of_each(docs, radius=4, shingle=4)
 
 
 def unseen_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
