@@ -43,3 +43,25 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(
         F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     )
+
+
+#: A key with more than one part in HOT of all rows is hot: there are fewer than HOT of them, whatever the table.
+HOT = 2_000
+#: Tasks that a hot key of ``hot_join`` is dealt to.
+HOT_SHARES = 64
+
+
+def hot_join(large: DataFrame, small: DataFrame, keys: list[str], rows: str, by: str, how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` in which only the hot keys of ``large`` are dealt, by ``by``, to HOT_SHARES tasks.
+
+    ``small`` holds one row for a key and tells in ``rows`` how many rows of ``large`` have it.
+    The keys above one HOT-th of all rows, fewer than HOT by their definition, are broadcast to mark
+    their rows; one shuffle then joins hot and other keys alike. ``rows`` is not in the result.
+    """
+    total = small.agg(F.sum(rows)).first()[0] or 0
+    small = small.withColumn("_hot", F.col(rows) * HOT > total).drop(rows)
+    hot = F.broadcast(small.where("_hot").select(*keys, "_hot"))
+    share = F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(HOT_SHARES))).otherwise(0).cast("int")
+    dealt = large.join(hot, keys, "left").withColumn("_share", share).drop("_hot")
+    shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SHARES - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(small.withColumn("_share", F.explode(shares)).drop("_hot"), [*keys, "_share"], how).drop("_share")
