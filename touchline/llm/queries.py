@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import (chat, decontaminate, embedding_dedup, line_dedup, packing, pii, quality, simhash, suffix_dedup,
-                           urls, warc)
+from touchline.llm import (chat, decontaminate, embedding_dedup, line_dedup, packing, pii, prefix_trie, quality,
+                           simhash, suffix_dedup, urls, warc)
 from touchline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +125,48 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# crc32 of a decimal number, bit by bit
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, c: list_reduce(list_concat([xor(crc, c)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+
+
+@query(rf"""
+WITH given AS (
+  SELECT conv_id, count(*) AS n, {_CRC32} % 4 AS h, conv_id - conv_id % 20 AS base,
+    list(md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ids,
+    list(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+convs AS (
+  SELECT g.conv_id, list_concat(coalesce(b.ids, [])[1:g.h], g.ids[g.h + 1:]) AS ids,
+    list_concat(coalesce(b.words, [])[1:g.h], g.words[g.h + 1:]) AS words
+  FROM given g LEFT JOIN given b ON g.base = b.conv_id),
+steps AS (SELECT conv_id, ids, words, unnest(range(len(ids) + 1)) AS depth FROM convs),
+named AS (SELECT *, md5(array_to_string(ids[1:depth], '')) AS node FROM steps),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(ids[1:depth]) AS path,
+    CASE WHEN depth > 0 THEN (count(*) - 1) * any_value(words[depth]) ELSE 0 END AS saved,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(ids)) AS ends
+  FROM named GROUP BY node, depth),
+linked AS (SELECT *, CASE WHEN depth > 0 THEN md5(array_to_string(path[1:depth - 1], '')) END AS up FROM nodes),
+children AS (SELECT up AS node, count(*) AS n FROM linked WHERE up IS NOT NULL GROUP BY up),
+valued AS (SELECT l.*, coalesce(n, 0) AS n_children FROM linked l LEFT JOIN children USING (node)),
+above AS (SELECT path, saved, n_children, unnest(range(depth + 1)) AS d FROM valued),
+sums AS (
+  SELECT md5(array_to_string(path[1:d], '')) AS node, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM above GROUP BY ALL)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+  sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM valued v JOIN sums USING (node) LEFT JOIN nodes p ON v.up = p.node
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+    return nodes.join(prefix_trie.ends_digest(ends), prefix_trie.KEY, "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
 _STRIP = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
