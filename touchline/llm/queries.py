@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import (chat, decontaminate, embedding_dedup, line_dedup, packing, pii, prefix_trie, quality,
-                           simhash, suffix_dedup, urls, warc)
+from touchline.llm import (chat, decontaminate, embedding_dedup, lexical_search, line_dedup, packing, pii, prefix_trie,
+                           quality, simhash, suffix_dedup, urls, warc)
 from touchline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,7 +136,8 @@ WITH given AS (
   SELECT conv_id, count(*) AS n, {_CRC32} % 4 AS h, conv_id - conv_id % 20 AS base,
     list(md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ids,
-    list(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS words
+    list(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS words
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 convs AS (
   SELECT g.conv_id, list_concat(coalesce(b.ids, [])[1:g.h], g.ids[g.h + 1:]) AS ids,
@@ -183,3 +184,27 @@ FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.without_shared_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_TERMS = rf"regexp_extract_all(translate(text, {_A_TO_Z}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+WITH terms AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+norms AS (SELECT doc_id, 25 + (75 * n * docs) // total AS m FROM lengths, whole),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tfs, whole GROUP BY term, docs),
+asked AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+held AS (SELECT item_id, term, count(*) AS q FROM asked GROUP BY ALL),
+scores AS (
+  SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM held JOIN weights USING (term) JOIN tfs USING (term) JOIN norms USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
