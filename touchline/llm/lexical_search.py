@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -96,13 +97,13 @@ class Index:
     n_terms: int
 
 
-def build_index(docs: DataFrame, path: str, only: frozenset[bytes] | None = None,
-                id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build_index(docs: DataFrame, path: str, only: frozenset[bytes] | None = None, id_col: str = "doc_id",
+                text_col: str = "text", postings: int = POSTINGS, documents: int = DOCUMENTS) -> Index:
     """Index of all rows with an id and at least one term, written to ``path``.
 
     Each row is a document, also when ids repeat. Null and empty texts have no terms and are not
     counted; a text may be of any length. ``only`` leaves out the postings of other terms, not their
-    part in the lengths. Rows are dealt by ranges of (m, hash), so a stratum with many documents is many blocks.
+    part in the lengths. ``postings`` and ``documents`` limit a block. Rows are dealt by ranges of (m, hash), so a stratum with many documents is many blocks.
     """
     found = cut(term_rows(docs, id_col, text_col, only))
     sums = found.agg(F.count("*").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
@@ -110,17 +111,17 @@ def build_index(docs: DataFrame, path: str, only: frozenset[bytes] | None = None
     m = F.expr(f"25 + CAST(n AS DECIMAL(19, 0)) * {75 * sums['docs']}BD div {max(sums['terms'], 1)}BD")
     dealt = (found.where("size(terms) > 0").select(m.cast("long").alias("m"), "id", "terms", "tfs")
              .repartitionByRange("m", F.xxhash64("id")).sortWithinPartitions("m"))
-    dealt.mapInArrow(_blocks, _INDEX).write.parquet(path)
+    dealt.mapInArrow(partial(_blocks, limits=(postings, documents)), _INDEX).write.parquet(path)
     return Index(docs.sparkSession.read.schema(_INDEX).parquet(path), sums["docs"], sums["terms"])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of m to blocks of one m each."""
+def _blocks(batches: Iterator[pa.RecordBatch], limits: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of m to blocks of one m each, of limited postings and documents."""
     held, m, postings, docs = [], None, 0, 0
     for batch in batches:
         start, of_row = 0, batch.column(0).to_numpy()
         for i, size in enumerate(pc.list_value_length(batch.column(2)).to_numpy()):
-            if of_row[i] != m or postings + size > POSTINGS or docs == DOCUMENTS:
+            if of_row[i] != m or postings + size > limits[0] or docs == limits[1]:
                 held.append(batch.slice(start, i - start))
                 yield from _inverted(m, held)
                 held, m, postings, docs, start = [], of_row[i], 0, 0, i
