@@ -167,9 +167,9 @@ def test_rows_without_a_vector_are_near_nothing(spark):
 
 
 def test_nearest_with_text_ids_and_bounded_slices(spark, monkeypatch):
-    from touchline.operators import neighbours
+    from touchline.operators import measures
 
-    monkeypatch.setattr(neighbours, "MAX_PAIRS", 20)
+    monkeypatch.setattr(measures, "MAX_PAIRS", 20)
     rng = np.random.default_rng(5)
     matrix = rng.normal(size=(120, 4))
     corpus = vectors(spark, matrix, "c").selectExpr("concat('doc', lpad(c, 4, '0')) AS c", "vector")

@@ -2,26 +2,27 @@
 
 The corpus never moves when the questions fit in memory: every task scans its
 own rows against all questions, keeps ``k`` per question, and only those are
-shuffled. The number of questions is checked; above the bound both sides are
-cut into cells small enough for one task, and every question still meets every
-corpus row exactly once.
+shuffled. Number and bytes of the questions are checked; above the bounds the corpus
+is indexed by distance to learnt centres, and each question meets the
+cells that its k-th distance does not rule out (``vector_index``). Both ways are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
+from touchline.operators.measures import Best
+from touchline.operators.vector_index import build_index, search
+from touchline.session import scratch_path
 
 MAX_BROADCAST_QUESTIONS = 20_000
-MAX_CELL_ROWS = 200_000
-# Distances held at once by a task.
-MAX_PAIRS = 4_000_000
+MAX_BROADCAST_BYTES = 32_000_000
+MAX_CELL_ROWS = 50_000
 
 
 def nearest(
@@ -49,11 +50,12 @@ def nearest(
         + [f"{c} {corpus.schema[c].dataType.simpleString()}" for c in cid]
         + ["distance double"]
     )
-    head = questions.limit(max_questions + 1).toPandas()
-    if len(head) <= max_questions:
-        partial = _scan_corpus(corpus, head, qid, cid, k, metric, schema)
-    else:
-        partial = _scan_cells(corpus, questions, qid, cid, k, metric, schema, max_questions, cell_rows)
+    # Counted before any question comes to the driver; the rows after the limit are not read.
+    bound = questions.limit(max_questions + 1).agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("_qv")), F.lit(0)).alias("width")).first()
+    if bound["n"] > max_questions or bound["n"] * bound["width"] * 8 > MAX_BROADCAST_BYTES:
+        index = build_index(corpus, scratch_path(corpus.sparkSession, "vector_index"), cid, "_cv", metric, share_rows=cell_rows)
+        return search(index, questions, qid, k, "_qv")
+    partial = _scan_corpus(corpus, questions.toPandas(), qid, cid, k, metric, schema)
     order = Window.partitionBy(*qid).orderBy("distance", *cid)
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -62,102 +64,9 @@ def _scan_corpus(corpus, head, qid, cid, k, metric, schema) -> DataFrame:
     shared = corpus.sparkSession.sparkContext.broadcast(head)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = _Best(shared.value, qid, cid, k, metric)
+        best = Best(shared.value, qid, cid, k, metric)
         for batch in batches:
             best.add(batch)
         yield best.rows()
 
     return corpus.mapInPandas(run, schema)
-
-
-def _scan_cells(corpus, questions, qid, cid, k, metric, schema, max_questions, cell_rows) -> DataFrame:
-    shards = int(corpus.count() // cell_rows) + 1
-    blocks = int(questions.count() // max_questions) + 1
-    left = corpus.withColumn("_shard", F.pmod(F.xxhash64(*cid), F.lit(shards))).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
-    right = questions.withColumn("_block", F.pmod(F.xxhash64(*qid), F.lit(blocks)).cast("int")).withColumn(
-        "_shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint")))
-    )
-
-    def cell(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        best = _Best(asked, qid, cid, k, metric)
-        best.add(rows)
-        return best.rows()
-
-    return (
-        left.groupBy("_shard", "_block")
-        .cogroup(right.groupBy("_shard", "_block"))
-        .applyInPandas(cell, schema)
-    )
-
-
-class _Best:
-    """The ``k`` nearest rows seen so far for each question."""
-
-    def __init__(self, questions: pd.DataFrame, qid, cid, k, metric):
-        self.ids, self.cid, self.qid, self.k, self.metric = questions[qid], cid, qid, k, metric
-        self.matrix = _matrix(questions["_qv"])
-        self.found = pd.DataFrame({c: [] for c in ["_q", "distance", *cid]})
-        self.limit = np.full(len(questions), np.inf)
-
-    def add(self, batch: pd.DataFrame) -> None:
-        """Take in corpus rows, a slice at a time so that memory stays bounded."""
-        if not len(batch) or not len(self.ids):
-            return
-        step = max(self.k + 1, MAX_PAIRS // len(self.ids))
-        for start in range(0, len(batch), step):
-            self._add_slice(batch.iloc[start : start + step])
-
-    def _add_slice(self, batch: pd.DataFrame) -> None:
-        rows = _matrix(batch["_cv"])
-        # A fast estimate rules most pairs out; survivors are measured exactly.
-        estimate, slack = _estimate(self.matrix, rows, self.metric)
-        if rows.shape[0] > self.k:
-            kth = np.partition(estimate, self.k - 1, axis=1)[:, self.k - 1]
-            limit = np.minimum(self.limit, kth)
-        else:
-            limit = self.limit
-        q, r = np.nonzero(estimate <= (limit + slack)[:, None])
-        if not len(q):
-            return
-        fresh = batch[self.cid].iloc[r].reset_index(drop=True)
-        fresh.insert(0, "distance", _exact(self.matrix[q], rows[r], self.metric))
-        fresh.insert(0, "_q", q)
-        pool = pd.concat([self.found, fresh]) if len(self.found) else fresh
-        pool = pool.sort_values(["_q", "distance", *self.cid])
-        self.found = pool.groupby("_q", sort=False).head(self.k)
-        full = self.found.groupby("_q")["distance"].agg(["size", "max"])
-        full = full[full["size"] == self.k]
-        self.limit[full.index.to_numpy(dtype=np.int64)] = full["max"].to_numpy()
-
-    def rows(self) -> pd.DataFrame:
-        asked = self.ids.iloc[self.found["_q"].astype(np.int64)].reset_index(drop=True)
-        found = self.found.reset_index(drop=True)
-        ids = pd.concat([asked, found[self.cid]], axis=1).astype(object)
-        return ids.assign(distance=found["distance"].astype(np.float64))
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    if not len(vectors):
-        return np.empty((0, 0))
-    return np.stack(vectors.to_numpy()).astype(np.float64)
-
-
-def _estimate(q: np.ndarray, x: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distances by matrix product, and how far they may be off per question."""
-    dot = q @ x.T
-    qq, xx = (q * q).sum(1), (x * x).sum(1)
-    if metric == "cosine":
-        norm = np.sqrt(np.outer(qq, xx))
-        off = np.divide(dot, norm, out=np.zeros_like(dot), where=norm > 0)
-        return 1.0 - off, np.full(len(q), 1e-9)
-    return qq[:, None] + xx[None, :] - 2.0 * dot, 1e-9 * (1.0 + qq + xx.max())
-
-
-def _exact(q: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
-    if metric == "cosine":
-        norm = np.sqrt((q * q).sum(1) * (x * x).sum(1))
-        dot = (q * x).sum(1)
-        return 1.0 - np.divide(dot, norm, out=np.zeros_like(dot), where=norm > 0)
-    return ((q - x) ** 2).sum(1)

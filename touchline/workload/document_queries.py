@@ -7,8 +7,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
-from touchline.operators import chunking, embedding, retrieval
+from touchline.operators import chunking, embedding, retrieval, vector_index
 from touchline.operators.neighbours import nearest
+from touchline.session import scratch_path
 from touchline.workload.registry import query
 from touchline.workload.tables import read_spread, read_table
 
@@ -83,6 +84,42 @@ def knn_topk(spark, sf):
     return nearest(vectors, centres, ["vec_id"], ["topic"], vector="embedding").select("topic", "vec_id", "rank")
 
 
+_NEIGHBOURS_SQL = """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+distances AS (
+  SELECT q.vec_id AS question, c.vec_id, sum((q.x - c.x) * (q.x - c.x)) AS d FROM parts q JOIN parts c USING (i) GROUP BY ALL)
+SELECT question, vec_id, row_number() OVER (PARTITION BY question ORDER BY d, vec_id)::INT AS rank FROM distances
+QUALIFY rank <= 4
+"""
+
+
+def _vector_index(spark, sf):
+    vectors = read_spread(spark, sf, "embeddings", "vec_id").select("vec_id", F.col("embedding").alias("vector"))
+    return vectors, vector_index.build_index(vectors, scratch_path(spark, "vector_index"), ["vec_id"])
+
+
+@query(_NEIGHBOURS_SQL)
+def knn_join_large(spark, sf):
+    """The four nearest vectors of every vector, itself included: both sides large, cells left out by the triangle inequality."""
+    vectors, index = _vector_index(spark, sf)
+    questions = vectors.withColumnRenamed("vec_id", "question")
+    return vector_index.search(index, questions, ["question"]).select("question", "vec_id", "rank")
+
+
+@query()
+def knn_index_recall(spark, sf):
+    """For every vector, how many of its four nearest the index finds when it probes as many cells as a sample asked for."""
+    vectors, index = _vector_index(spark, sf)
+    questions = vectors.withColumnRenamed("vec_id", "question")
+    sample = questions.orderBy(F.xxhash64("question"), "question").limit(100)
+    found = vector_index.search(index, questions, ["question"], probes=vector_index.cells_to_probe(index, sample, ["question"]))
+    hits = found.select("question", "vec_id", F.lit(1).alias("hit"))
+    exact = vector_index.search(index, questions, ["question"])
+    return exact.join(hits, ["question", "vec_id"], "left").groupBy("question").agg(
+        F.count("*").alias("nearest"), F.count("hit").alias("found"))
+
+
 RETRIEVE_SQL = f"""{CHUNKS_SQL},
 {_counts_sql("chunk_counts", "chunks", "doc_id, seq", "chunk")},
 {_counts_sql("question_counts", "benchmark", "item_id", "text")},
