@@ -89,23 +89,29 @@ def run_gold(spark: SparkSession, folder: str, sink: sinks.Sink, all_snapshots:
 def run_files(
     spark: SparkSession, folder: str, target: str, cleanup: bool = False, state: str | None = None,
     timeout_s: float | None = None, dead_letters: str | None = None, batch_files: int = 64,
-    servers: str | None = None, topic: str = fv.FILES_TOPIC,
+    servers: str | None = None, topic: str = fv.FILES_TOPIC, batch_messages: int = 10_000,
 ) -> int:
     """Copy files through the message feed; ``cleanup`` first removes stale top-level files.
 
-    Messages go through the Kafka ``topic`` at ``servers``, else through a folder in
-    ``state``, which also holds how far the feed has come. When ``timeout_s`` strikes,
+    Messages go through the Kafka ``topic`` at ``servers``, at most ``batch_messages`` in a micro-batch, else
+    through a folder in ``state``, ``batch_files`` at a time. ``state`` also holds how far the feed has come;
+    with ``servers`` it must be given and keeps the offsets, so that the next run begins where this one ended
+    and lands no message twice. When ``timeout_s`` strikes,
     ``Unfinished`` is raised; the same call goes on where that one stopped, without
     sending the files again. Rejected messages go to ``dead_letters``.
     """
     if timeout_s and not state:
         raise ValueError("a time limit needs a state folder, else the rest could not be landed later")
+    if servers and not state:
+        raise ValueError("messages from servers need a state folder, else old ones would be landed again")
     if cleanup:
+        made: list[str] = []
         stale = orphans(
-            files.list_files(spark, target).where("is_top_level"),
-            files.list_files(spark, folder), ["rel_path"],
+            files.list_files(spark, target, made=made).where("is_top_level"),
+            files.list_files(spark, folder, made=made), ["rel_path"],
         )
         log.info("deleted %d stale files", files.delete_files(stale, target, folder).where("deleted").count())
+        files.remove_folders(spark, made)
     state = state or scratch_path(spark, topic)
     sent, offsets = f"{state}/messages", f"{state}/offsets"
     if not files.exists(spark, f"{state}/sent/_SUCCESS"):
@@ -119,7 +125,7 @@ def run_files(
             messages.select("value").write.mode("overwrite").text(sent)
             done.select("value").write.mode("append").text(sent)
         spark.range(1).write.mode("overwrite").parquet(f"{state}/sent")
-    feed = feeds.kafka_feed(spark, servers, topic) if servers else feeds.file_feed(spark, sent, batch_files)
+    feed = feeds.kafka_feed(spark, servers, topic, batch_messages) if servers else feeds.file_feed(spark, sent, batch_files)
     landed = feeds.land_envelopes(feed, target, offsets, timeout_s, dead_letters or f"{target.rstrip('/')}_rejected")
     files.remove_folders(spark, [f"{state}/sent" if servers else state])
     return landed
@@ -158,8 +164,8 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--input is required")
     if args.job == "files" and not args.output:
         parser.error("--output is required")
-    if args.timeout and not args.state:
-        parser.error("--timeout needs --state")
+    if (args.timeout or args.servers) and not args.state:
+        parser.error("--timeout and --servers need --state")
     logging.basicConfig(level=logging.INFO)
     spark = build_session(f"touchline-{args.job}")
     sink = sinks.parquet_sink(args.output) if args.output else sinks.jdbc_sink()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -12,22 +13,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
+from touchline.sources.tables import stored
 
 
 LISTED = "path string, length bigint, modified_at timestamp"
 
 
-def list_files(spark: SparkSession, folder: str, content: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, folder: str, content: bool = False, made: list[str] | None = None) -> DataFrame:
     """Every file below ``folder``: rel_path, filename, length, modified_at, is_top_level[, content].
 
-    The listing has empty files too and opens none. With ``content`` only files that have
-    some are listed, as the feed carries no empty ones.
+    The listing has empty files too and opens none; it is kept in scratch folders, which are added to ``made``.
+    With ``content`` only files that have some are listed, as the feed carries no empty ones.
     """
     if content:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
         files = files.withColumnRenamed("modificationTime", "modified_at")
     else:
-        files = _listing(spark, folder)
+        files = _listing(spark, folder, made)
     rel = relative_path(F.col("path"), folder)
     columns = [
         rel.alias("rel_path"),
@@ -39,29 +41,37 @@ def list_files(spark: SparkSession, folder: str, content: bool = False) -> DataF
     return files.select(*columns, *(["content"] if content else []))
 
 
-def _listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Files below ``folder``, listed by executors: its folders are dealt to tasks, level by level."""
+#: Entries sent on at once while folders are listed.
+LISTED_AT_ONCE = 10_000
 
-    def walk(deep: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            from pyarrow import fs
 
-            filesystem, _ = _open(folder)
-            for batch in batches:
-                for path in batch.column(0).to_pylist():
-                    found = filesystem.get_file_info(fs.FileSelector(path, recursive=deep))
-                    kept = [i for i in found if deep is False or i.type == fs.FileType.File]
+def _listing(spark: SparkSession, folder: str, made: list[str] | None) -> DataFrame:
+    """Files below ``folder``, walked level by level: the folders found on one level are dealt to tasks, one call
+    for each, and what they hold is stored before the next level begins."""
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        filesystem, _ = _open(folder)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                found = filesystem.get_file_info(fs.FileSelector(path, recursive=False))
+                for start in range(0, len(found), LISTED_AT_ONCE):
+                    part = found[start:start + LISTED_AT_ONCE]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([i.path for i in kept], pa.string()),
-                         pa.array([i.size if i.type == fs.FileType.File else -1 for i in kept], pa.int64()),
-                         pa.array([i.mtime for i in kept], pa.timestamp("us", tz="UTC"))],
+                        [pa.array([i.path for i in part], pa.string()),
+                         pa.array([i.size if i.type == fs.FileType.File else -1 for i in part], pa.int64()),
+                         pa.array([i.mtime for i in part], pa.timestamp("us", tz="UTC"))],
                         ["path", "length", "modified_at"])
-        return run
 
     _, root = _open(folder)
-    top = spark.createDataFrame([(root.rstrip("/"),)], "path string").mapInArrow(walk(False), LISTED)
-    below = top.where("length < 0").select("path").mapInArrow(walk(True), LISTED)
-    return top.where("length >= 0").union(below)
+    frontier, files, tasks = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string"), [], 1
+    while tasks:
+        listed = stored(frontier.repartition(tasks).mapInArrow(entries, LISTED), "listing", made)
+        files.append(listed.where("length >= 0"))
+        frontier = listed.where("length < 0").select("path")
+        tasks = min(frontier.count(), 4 * spark.sparkContext.defaultParallelism)
+    return reduce(DataFrame.unionByName, files)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

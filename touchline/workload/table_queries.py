@@ -45,15 +45,19 @@ def scan_optional(spark, sf):
 
 
 @query("\nUNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{t}.parquet' AS filename, count(*) AS n_rows FROM {t}" for t in SCHEMAS))
+    f"SELECT '{t}' AS table_name, '{t}.parquet' AS rel_path, '{t}.parquet' AS filename, true AS is_top_level,"
+    f" true AS has_content, count(*) AS n_rows FROM {t}" for t in SCHEMAS))
 def file_inventory(spark, sf):
-    """Rows of every file of every table, counted while the files are read."""
+    """Every file below the data folder that holds rows of a table, and how many it holds."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     counted = [
-        read_table(spark, sf, name).groupBy(F.col("_metadata.file_name").alias("filename"))
-        .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "filename", "n_rows")
+        read_table(spark, sf, name).groupBy(files.relative_path(path, sf).alias("rel_path"))
+        .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
         for name in SCHEMAS
     ]
-    return reduce(DataFrame.unionByName, counted)
+    listed = files.list_files(spark, sf)
+    return listed.join(reduce(DataFrame.unionByName, counted), "rel_path").select(
+        "table_name", "rel_path", "filename", "is_top_level", (F.col("length") > 0).alias("has_content"), "n_rows")
 
 
 @query("""
