@@ -16,6 +16,7 @@ from touchline import fixed_values as fv
 from touchline.functions.calendar import date_id, fact_date_parts, parse_timestamp
 from touchline.functions.cleaning import coerce, outcome
 from touchline.functions.keys import composite_key, name_key
+from touchline.operators.asof import asof_join
 from touchline.operators.dedup import first_by, latest_by
 from touchline.operators.lookup import lookup
 from touchline.schemas import measures
@@ -184,9 +185,9 @@ def latest_kpis(kpis: DataFrame) -> DataFrame:
     return latest_by(snapshots, ["team"], ["asof_date", "stage"])
 
 
-def _kpi_role(kpis: DataFrame, role: str) -> DataFrame:
+def _kpi_role(kpis: DataFrame, role: str, more: tuple[str, ...] = ()) -> DataFrame:
     return kpis.select(
-        F.col("team").alias(f"{role}_team"),
+        F.col("team").alias(f"{role}_team"), *more,
         *[F.col(c).alias(f"{role}_{name}") for c, name in fv.KPI_SIDE_MEASURES.items()],
     )
 
@@ -197,19 +198,30 @@ def bigtable(matches: DataFrame, attendance: DataFrame, sides: DataFrame) -> Dat
     ``sides`` has the KPIs of a team: from ``latest_kpis`` one row each; with every
     snapshot a match repeats for each pair of team snapshots.
     """
-    base = [
-        "match_id", "match_ts", "match_date", "stage", "group_id", "stadium", "city",
-        "home_team", "away_team", *measures(fv.MATCH_SCHEMA),
-    ]
-    home, away = _kpi_role(sides, "home"), _kpi_role(sides, "away")
-    rows = matches.join(attendance.select("match_id", *fv.ATTENDANCE_MEASURES), "match_id", "left")
-    rows = lookup(rows, home, ["home_team"], ["match_id"])
-    return (
-        lookup(rows, away, ["away_team"], ["match_id"])
-        .select(
-            *base, *fv.ATTENDANCE_MEASURES, *home.columns[1:], *away.columns[1:],
-            outcome(F.col("home_goals"), F.col("away_goals")).alias("match_result"),
-        )
+    rows = _with_attendance(matches, attendance)
+    rows = lookup(rows, _kpi_role(sides, "home"), ["home_team"], ["match_id"])
+    return _wide(lookup(rows, _kpi_role(sides, "away"), ["away_team"], ["match_id"]))
+
+
+def bigtable_asof(matches: DataFrame, attendance: DataFrame, kpis: DataFrame, made: list[str] | None = None) -> DataFrame:
+    """The wide row of each match with both teams' KPIs as they stood on its day: no snapshot from after the match."""
+    rows = _with_attendance(matches, attendance)
+    for role in ("home", "away"):
+        snapshots = _kpi_role(kpis.withColumns({"_asof": F.col("asof_date"), "_stage": F.col("stage")}), role, ("_asof", "_stage"))
+        rows = asof_join(rows, snapshots, [f"{role}_team"], "match_date", "_asof", ["_stage"], made=made).drop("_asof", "_stage")
+    return _wide(rows)
+
+
+def _with_attendance(matches: DataFrame, attendance: DataFrame) -> DataFrame:
+    return matches.join(attendance.select("match_id", *fv.ATTENDANCE_MEASURES), "match_id", "left")
+
+
+def _wide(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "match_id", "match_ts", "match_date", "stage", "group_id", "stadium", "city", "home_team", "away_team",
+        *measures(fv.MATCH_SCHEMA), *fv.ATTENDANCE_MEASURES,
+        *(f"{role}_{name}" for role in ("home", "away") for name in fv.KPI_SIDE_MEASURES.values()),
+        outcome(F.col("home_goals"), F.col("away_goals")).alias("match_result"),
     )
 
 
@@ -231,10 +243,13 @@ def players_snapshot(raw: DataFrame, teams: DataFrame) -> DataFrame:
 
 def build(
     spark: SparkSession, inputs: Mapping[str, DataFrame | None], all_snapshots: bool = False,
-    made: list[str] | None = None,
+    made: list[str] | None = None, asof: bool = False,
 ) -> dict[str, DataFrame]:
     """Every gold table from raw inputs; absent optional inputs give empty tables.
 
+    The wide table shows each team's latest KPI snapshot, with ``asof`` the latest one at the day of the match,
+    with ``all_snapshots`` every one.
+
     ``made`` gets the scratch folders that the tables are read from.
     """
     require(inputs)
@@ -255,7 +270,10 @@ def build(
     # sides are broadcast and the facts are not shuffled.
     teams = stored(dim_team(kpis), "dim_team", made)
     stadiums = stored(dim_stadium(matches), "dim_stadium", made)
-    sides = kpis if all_snapshots else stored(latest_kpis(kpis), "latest_kpis", made)
+    wide = (
+        bigtable_asof(matches, attendance, kpis, made) if asof
+        else bigtable(matches, attendance, kpis if all_snapshots else stored(latest_kpis(kpis), "latest_kpis", made))
+    )
     players = dim_player(player_match)
     return {
         "dim_team": teams,
@@ -276,7 +294,7 @@ def build(
         "fact_team_kpis": fact_team_kpis(kpis),
         "fact_marketing": fact_marketing(marketing),
         "fact_player_match": fact_player_match(player_match, players, teams),
-        "bigtable_gold": bigtable(matches, attendance, sides),
+        "bigtable_gold": wide,
         "group_standings": group_standings(raw["standings"], teams),
         "players_snapshot_gold": players_snapshot(raw["snapshot"], teams),
     }

@@ -73,7 +73,7 @@ def _load_performance(
     )
 
 
-def run_gold(spark: SparkSession, folder: str, sink: sinks.Sink, all_snapshots: bool = False, prefix: str = fv.GOLD_PREFIX) -> dict[str, int]:
+def run_gold(spark: SparkSession, folder: str, sink: sinks.Sink, all_snapshots: bool = False, prefix: str = fv.GOLD_PREFIX, asof: bool = False) -> dict[str, int]:
     """Gold inputs to the gold mart; the sink is tried before any work."""
     sinks.smoke_test(spark, sink)
     inputs = tables.read_gold_inputs(spark, folder, prefix)
@@ -81,7 +81,7 @@ def run_gold(spark: SparkSession, folder: str, sink: sinks.Sink, all_snapshots:
     made: list[str] = []
     try:
         typed = {n: tables.stored(df, n, made) if df is not None else None for n, df in inputs.items()}
-        return sinks.load_tables(gold.build(spark, typed, all_snapshots, made), sink)
+        return sinks.load_tables(gold.build(spark, typed, all_snapshots, made, asof), sink)
     finally:
         files.remove_folders(spark, made)
 
@@ -155,6 +155,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic", default=fv.FILES_TOPIC, help="files: Kafka topic")
     parser.add_argument("--prefix", default=fv.GOLD_PREFIX, help="gold: what the names of tournament files begin with")
     parser.add_argument("--all-snapshots", action="store_true", help="gold: keep every KPI snapshot")
+    parser.add_argument("--asof", action="store_true", help="gold: KPIs as they stood on the day of a match")
     parser.add_argument("--panel", choices=sorted(panels.PANELS), default="country_table")
     parser.add_argument("--position", default=fv.DEFAULT_POSITION)
     parser.add_argument("--max-age", type=int, default=fv.DEFAULT_MAX_AGE)
@@ -172,7 +173,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "performance":
         run_performance(spark, args.input, sink)
     elif args.job == "gold":
-        run_gold(spark, args.input, sink, args.all_snapshots, args.prefix)
+        run_gold(spark, args.input, sink, args.all_snapshots, args.prefix, args.asof)
     elif args.job == "files":
         landed = run_files(
             spark, args.input, args.output, args.cleanup, args.state, args.timeout, args.dead_letters,

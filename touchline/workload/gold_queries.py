@@ -185,18 +185,22 @@ _SIDE = """xg_for AS {0}_xg_for_group, xg_against AS {0}_xg_against_group,
     injuries_reported AS {0}_injuries_reported"""
 
 
+_WIDE_COLUMNS = f"""m.match_id, {_TIME.format("m.match_ts")} AS match_ts, {_DAY.format("m.match_date")} AS match_date, m.stage, m.group_id,
+  m.stadium, m.city, home_team, away_team, {_MATCH_MEASURES}, m.attendance, capacity, occupancy_pct,
+  ticket_revenue_usd, hospitality_revenue_usd, concession_revenue_usd, fan_satisfaction_score"""
+_RESULT = """CASE WHEN home_goals > away_goals THEN 'HOME_WIN' WHEN home_goals < away_goals THEN 'AWAY_WIN'
+    ELSE 'DRAW' END AS match_result"""
+
+
 def _bigtable_sql(sides: str) -> str:
     return f"""
 WITH {MATCHES_SQL}, {ATTENDANCE_SQL}, {KPIS_SQL},
 sides AS ({sides}),
 home AS (SELECT team, {_SIDE.format("home")} FROM sides),
 away AS (SELECT team, {_SIDE.format("away")} FROM sides)
-SELECT m.match_id, {_TIME.format("m.match_ts")} AS match_ts, {_DAY.format("m.match_date")} AS match_date, stage, group_id,
-  m.stadium, m.city, home_team, away_team, {_MATCH_MEASURES}, m.attendance, capacity, occupancy_pct,
-  ticket_revenue_usd, hospitality_revenue_usd, concession_revenue_usd, fan_satisfaction_score,
+SELECT {_WIDE_COLUMNS},
   home.* EXCLUDE (team), away.* EXCLUDE (team),
-  CASE WHEN home_goals > away_goals THEN 'HOME_WIN' WHEN home_goals < away_goals THEN 'AWAY_WIN'
-    ELSE 'DRAW' END AS match_result
+  {_RESULT}
 FROM matches m LEFT JOIN attendance t ON m.match_id = t.match_id
   LEFT JOIN home ON home_team = home.team LEFT JOIN away ON away_team = away.team
 """
@@ -210,6 +214,20 @@ def bigtable(spark, sf):
     return gold.bigtable(_matches(spark, sf), _attendance(spark, sf), sides)
 
 
+@query(f"""
+WITH {MATCHES_SQL}, {ATTENDANCE_SQL}, {KPIS_SQL},
+home AS (SELECT team, asof_date, {_SIDE.format("home")} FROM kpis),
+away AS (SELECT team, asof_date, {_SIDE.format("away")} FROM kpis)
+SELECT {_WIDE_COLUMNS}, home.* EXCLUDE (team, asof_date), away.* EXCLUDE (team, asof_date), {_RESULT}
+FROM matches m LEFT JOIN attendance t ON m.match_id = t.match_id
+  ASOF LEFT JOIN home ON home_team = home.team AND m.match_date >= home.asof_date
+  ASOF LEFT JOIN away ON away_team = away.team AND m.match_date >= away.asof_date
+""")
+def kpis_asof(spark, sf):
+    """The wide table with each team's KPIs as they stood on the day of the match."""
+    return gold.bigtable_asof(_matches(spark, sf), _attendance(spark, sf), _kpis(spark, sf))
+
+
 @query(f"""
 WITH {KPIS_SQL}
 SELECT team_id, s_name AS team_name, group_id, (s_nationkey + 1)::INT AS pos, 3 AS played,
