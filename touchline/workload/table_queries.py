@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline import fixed_values as fv
 from touchline.functions import calendar, cleaning
 from touchline.functions.keys import composite_key, name_key
-from touchline.operators import bands, dedup, quality, reconcile, topk
+from touchline.operators import bands, dedup, numbering, quality, reconcile, topk
 from touchline.operators.lookup import lookup
 from touchline.plans import performance
 from touchline.sources import files, sinks
-from touchline.sources.tables import read_parquet_optional
+from touchline.session import scratch_path
+from touchline.sources.tables import read_gold_inputs, read_parquet_optional, require, stored
 from touchline.workload import frames
 from touchline.workload.frames import exact, key
 from touchline.workload.numeric import exact_sum
@@ -60,6 +62,54 @@ def file_inventory(spark, sf):
         "table_name", "rel_path", "filename", "is_top_level", (F.col("length") > 0).alias("has_content"), "n_rows")
 
 
+@query("SELECT source || '/' || doc_id AS doc_id, coalesce(length(text), 0) AS n_chars, sha256(coalesce(text, '')) AS digest FROM documents")
+def load_docs(spark, sf):
+    """Documents written as text files in folders and loaded again by their extension; other files are passed over."""
+    folder = scratch_path(spark, "text_files")
+    docs = read_spread(spark, sf, "documents", "doc_id")
+    name = F.concat_ws("/", "source", F.col("doc_id").cast("string"))
+    bodies = docs.select(name.alias("name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
+    for extension in ("txt", "md"):
+        named = bodies.select(F.concat("name", F.lit(f".{extension}")).alias("rel_path"), "content")
+        files.land_files(named, folder).write.format("noop").mode("overwrite").save()
+    loaded = files.read_documents(spark, folder).select(
+        F.regexp_replace("doc_id", r"\.txt$", "").alias("doc_id"), F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+    out = stored(loaded, "loaded_documents")
+    files.remove_folders(spark, [folder])
+    return out
+
+
+@query("""
+SELECT name AS table_name, name <> 'standings' AS required, name <> 'standings' AS present, n_rows
+FROM (VALUES ('matches', (SELECT count(*) FROM orders)), ('team_kpis', (SELECT count(*) FROM supplier)),
+  ('attendance', (SELECT count(*) FROM lineitem)), ('standings', 0)) AS t(name, n_rows)
+""")
+def required_inputs(spark, sf):
+    """The gate before a load: inputs written as CSV and read by name; the sink is tried first, a missing input stops the run."""
+    folder = scratch_path(spark, "gate")
+    sinks.smoke_test(spark, sinks.parquet_sink(f"{folder}/mart"))
+    given = {"matches": ("orders", "o_orderkey", "match_id"), "team_kpis": ("supplier", "s_name", "team"), "attendance": ("lineitem", "l_orderkey", "match_id")}
+    for name, (table, column, header) in given.items():
+        rows = read_table(spark, sf, table).select(F.col(column).cast("string").alias(header))
+        rows.write.option("header", True).csv(f"{folder}/{fv.GOLD_FILES[name].format(prefix='')}")
+    inputs = read_gold_inputs(spark, folder, "")
+    require(inputs)
+    for name in fv.REQUIRED_GOLD_INPUTS:
+        try:
+            require({n: df for n, df in inputs.items() if n != name})
+        except FileNotFoundError:
+            continue
+        raise AssertionError(f"{name} is required, but its absence did not stop the run")
+    counted = [
+        (inputs[name].agg(F.count(F.lit(1)).alias("n_rows")) if inputs[name] is not None else spark.range(1).select(F.lit(0).cast("bigint").alias("n_rows")))
+        .select(F.lit(name).alias("table_name"), F.lit(name in fv.REQUIRED_GOLD_INPUTS).alias("required"), F.lit(inputs[name] is not None).alias("present"), "n_rows")
+        for name in [*given, "standings"]
+    ]
+    out = stored(reduce(DataFrame.unionByName, counted), "gate_report")
+    files.remove_folders(spark, [folder])
+    return out
+
+
 @query("""
 SELECT source || '/' || doc_id || '.txt' AS key,
   json_object('rel_path', source || '/' || doc_id || '.txt', 'filename', doc_id || '.txt',
@@ -294,6 +344,13 @@ def stable_row_id(spark, sf):
     )
 
 
+@query("SELECT row_number() OVER (ORDER BY p_brand DESC, p_name, p_partkey) AS id, p_partkey, p_brand, p_name FROM part")
+def sequential_id(spark, sf):
+    """Dense numbers in a global order, given without a task that sees all rows."""
+    part = read_table(spark, sf, "part").select("p_partkey", "p_brand", "p_name")
+    return numbering.sequential_id(part, [F.desc("p_brand"), "p_name", "p_partkey"])
+
+
 _MARKUP_SQL = (
     r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\*+', '', 'g'),"
     r" '#+', '', 'g'), '\[([^\]]+)\]\([^\)]+\)', '\1', 'g'), '(\p{Nd}+)\.', '\1', 'g'),"
