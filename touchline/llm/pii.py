@@ -16,7 +16,9 @@ ROUNDS = 8
 DEFAULT_KEY = "touchline-pseudonyms"
 
 #: Forms of what is looked for; which one a match is, is told by its shape.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: An address is looked for from the start of its first part on, so a long run of letters is walked once; of a
+#: domain, which stays, only so many parts matter.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,30}\.[A-Za-z]{2,}"
 #: Ten digits with or without +1, and a plus with a country code and 7 to 15 digits in all.
 PHONE = (r"\+1 \(\d{3}\) \d{3}-\d{4}(?!\d)|(?<![\d.-])[2-9]\d{2}-[2-9]\d{2}-\d{4}(?![\d-])"
          r"|(?<![\w.+-])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[.-])[2-9]\d{2}[.-]\d{4}(?![\w-]|\.\d)"
@@ -36,6 +38,8 @@ PRINTED = r"(?<!\w)[A-Z]{2}\d{2}(?: \d{4}){2,7}(?: \d{1,4})?(?!\w)"
 COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Days 1800-01-01 to 2199-12-31: 400 years repeat, 146,097 days, 189 x 773.
 FIRST_DAY, LAST_DAY, WEEKS, DAYS = "1800-01-01", "2199-12-31", 189, 773
+#: Of these, 88,497 = 9 x 9,833 come after the twelfth of their month.
+LATE_WEEKS, LATE_DAYS, FIRST_DAYS = 9, 9833, 12
 
 
 def _noise(key: str, form: str, round_no: Column, other: Column) -> Column:
@@ -165,16 +169,39 @@ def ip(value: Column, key: str) -> Column:
 
 
 def date(value: Column, key: str) -> Column:
-    """A real day from 1800 to 2199, written year-month-day, day.month.year or month/day/year or, if only that is one, day/month/year."""
+    """A real day from 1800 to 2199, written year-month-day, day.month.year or month/day/year or, if only that is one, day/month/year.
+
+    The first three share one permutation of all days. What is only day/month/year has a day after the twelfth and is permuted
+    among such days, so that no two dates with slashes get one pseudonym.
+    """
+    first = F.lit(FIRST_DAY).cast("date")
+
     def moved(day: Column, pattern: str) -> Column:
-        at = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
+        at = F.datediff(day, first)
         image = feistel(F.floor(at / DAYS), at % DAYS, F.lit(WEEKS), F.lit(DAYS), key, "date")
-        made = let(image, lambda x: F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (x["l"] * DAYS + x["r"]).cast("int")), pattern))
-        return F.when(day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), made)
+        made = let(image, lambda x: F.date_format(F.date_add(first, (x["l"] * DAYS + x["r"]).cast("int")), pattern))
+        return F.when(day.between(first, F.lit(LAST_DAY).cast("date")), made)
+
+    def late(day: Column) -> Column:
+        """Permuted by its number among the days after the twelfth: each month so far has twelve others."""
+        starts = lambda month: F.datediff(F.add_months(first, month), first) - FIRST_DAYS * month
+        at = F.datediff(day, first) - FIRST_DAYS * ((F.year(day) - 1800) * 12 + F.month(day))
+        image = feistel(F.floor(at / LATE_DAYS), at % LATE_DAYS, F.lit(LATE_WEEKS), F.lit(LATE_DAYS), key, "late date")
+
+        def written(n: Column) -> Column:
+            # a month has 16 to 19 such days, 88,497 in 4,800 months: the guess is off by less than two
+            guess = F.floor(n * 4800 / (LATE_WEEKS * LATE_DAYS)).cast("int")
+            months = F.filter(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda o: guess + o), lambda m: starts(m) <= n)
+            return let(F.array_max(months), lambda m: F.date_format(
+                F.date_add(F.add_months(first, m), (n - starts(m) + FIRST_DAYS).cast("int")), "dd/MM/yyyy"))
+
+        made = let(image, lambda x: let(x["l"] * LATE_DAYS + x["r"], written))
+        return F.when(day.between(first, F.lit(LAST_DAY).cast("date")) & (F.dayofmonth(day) > FIRST_DAYS), made)
+
     part = lambda a, n: F.substring(value, a, n)
     day = lambda y, m, d: F.try_to_timestamp(F.concat_ws("-", y, m, d), F.lit("yyyy-MM-dd")).cast("date")
     iso, us, eu = day(part(1, 4), part(6, 2), part(9, 2)), day(part(7, 4), part(1, 2), part(4, 2)), day(part(7, 4), part(4, 2), part(1, 2))
-    return F.when(value.contains("-"), moved(iso, "yyyy-MM-dd")).when(value.contains("."), moved(eu, "dd.MM.yyyy")).otherwise(F.coalesce(moved(us, "MM/dd/yyyy"), moved(eu, "dd/MM/yyyy")))
+    return F.when(value.contains("-"), moved(iso, "yyyy-MM-dd")).when(value.contains("."), moved(eu, "dd.MM.yyyy")).otherwise(F.coalesce(moved(us, "MM/dd/yyyy"), late(eu)))
 
 
 def _rest(number: Column) -> Column:
@@ -230,12 +257,14 @@ def forms(text: Column) -> Column:
 def email(value: Column, key: str) -> Column:
     """The part before the @; each letter and digit moves within its kind, the rest and the domain stay."""
     def shifted(half: Column, other: Column, round_no: int) -> Column:
-        noise = F.sha2(F.concat_ws("|", F.lit(key), F.lit(f"mail{round_no}"), other), 512)
-        def one(c: Column, i: Column) -> Column:
+        def one(noise: Column, c: Column, i: Column) -> Column:
             by = F.conv(F.substring(noise, F.pmod(i, F.lit(63)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
             turn = lambda first, n: F.char(F.pmod(F.ascii(c) - first + by, F.lit(n)) + first)
             return (F.when(c.rlike("[a-z]"), turn(97, 26)).when(c.rlike("[A-Z]"), turn(65, 26)).when(c.rlike("[0-9]"), turn(48, 10)).otherwise(c))
-        return F.array_join(F.transform(F.filter(F.split(half, ""), lambda c: c != ""), one), "")
+        letters = F.filter(F.split(half, ""), lambda c: c != "")
+        # named once: the hash of a long part would else be made again for each of its letters
+        return let(F.sha2(F.concat_ws("|", F.lit(key), F.lit(f"mail{round_no}"), other), 512),
+                   lambda noise: F.array_join(F.transform(letters, lambda c, i: one(noise, c, i)), ""))
     local = F.substring_index(value, "@", 1)
     half = F.floor((F.length(local) + 1) / 2).cast("int")
     state = F.struct(F.substring(local, F.lit(1), half).alias("l"), F.substring(local, half + F.lit(1), F.length(local)).alias("r"))
@@ -281,7 +310,8 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, id_col: str = "doc_id"
 
     Equal values get equal pseudonyms wherever they stand. Values that only look like
     personal data (no check digit, no such day) stay as they are, and so does the text
-    around. Rows are treated one by one: repeated rows stay equal, an empty table gives an
+    around. E-mail domains and IBANs with letters in the account stay by design. The time for a text grows with its
+    length, also without spaces. Rows are treated one by one: repeated rows stay equal, an empty table gives an
     empty one, further columns are ignored.
     """
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select(
