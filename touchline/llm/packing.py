@@ -48,16 +48,17 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True  # such strings in a text are ordinary text
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         special = {t["content"] for t in told["added_tokens"]}
+        # ``tokenizers`` gives such a string in a text its one id, the faster encoder would cut it
+        self.added = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         octet = _octets()
         ranks = {bytes(octet[c] for c in word): i for word, i in told["model"]["vocab"].items() if word not in special}
         self.fast = tiktoken.Encoding("from file", pat_str=_PARTS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found = [None if _UNUSUAL.search(t) else self.fast.encode_ordinary(t) for t in texts]
+        found = [None if _UNUSUAL.search(t) or self.added.search(t) else self.fast.encode_ordinary(t) for t in texts]
         odd = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(odd, self.exact.encode_batch([texts[i] for i in odd], add_special_tokens=False)):
             found[i] = ids.ids
