@@ -111,7 +111,9 @@ def build_index(docs: DataFrame, path: str, only: frozenset[bytes] | None = None
     m = F.expr(f"25 + CAST(n AS DECIMAL(19, 0)) * {75 * sums['docs']}BD div {max(sums['terms'], 1)}BD")
     dealt = (found.where("size(terms) > 0").select(m.cast("long").alias("m"), "id", "terms", "tfs")
              .repartitionByRange("m", F.xxhash64("id")).sortWithinPartitions("m"))
-    dealt.mapInArrow(partial(_blocks, limits=(postings, documents)), _INDEX).write.parquet(path)
+    blocks = dealt.mapInArrow(partial(_blocks, limits=(postings, documents)), _INDEX)
+    # searches visit the strata of short documents most: dealt anew, every file has blocks of all strata
+    blocks.repartition(F.xxhash64("m", F.col("docs")[0])).write.parquet(path)
     return Index(docs.sparkSession.read.schema(_INDEX).parquet(path), sums["docs"], sums["terms"])
 
 
