@@ -1,5 +1,9 @@
 """Work that must not grow faster than the tables: partial sums, repeated runs, repeated dimensions."""
 
+from conftest import DATA
+from touchline.plans import gold
+from touchline.session import configure
+from touchline.workload import table_queries
 from touchline.workload.numeric import exact_sum
 
 
@@ -10,3 +14,21 @@ def test_partial_sums_are_small(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     partial = next(line for line in plan.splitlines() if "partial_sum" in line)
     assert partial.count("partial_") == 3 and "decimal" not in partial
+
+
+def _dimensions(spark, monkeypatch, run, module=gold):
+    """Plans of the dimensions that a query's lookups are given, and how often each is repeated."""
+    given = []
+    inner = module.lookup
+
+    def spy(rows, dimension, key, vary, salts=8):
+        given.append((dimension._jdf.queryExecution().optimizedPlan().toString(), salts))
+        return inner(rows, dimension, key, vary, salts)
+
+    monkeypatch.setattr(module, "lookup", spy)
+    run(configure(spark), DATA)
+    return given
+
+
+def test_pairs_about_as_many_as_lines_are_not_repeated(spark, monkeypatch):
+    assert [salts for _, salts in _dimensions(spark, monkeypatch, table_queries.join_left_composite, table_queries)] == [1]

@@ -433,7 +433,7 @@ def join_left_composite(spark, sf):
     pair = ["l_partkey", "l_suppkey"]
     returned = lines.where("l_returnflag = 'R'").groupBy(*pair).agg(F.count(F.lit(1)).alias("returned"))
     rows = lines.select("l_orderkey", "l_linenumber", *pair)
-    return lookup(rows, returned, pair, ["l_orderkey", "l_linenumber"])
+    return lookup(rows, returned, pair, ["l_orderkey", "l_linenumber"], salts=1)  # about as many pairs as lines
 
 
 @query(f"""
