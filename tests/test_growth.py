@@ -1,9 +1,10 @@
 """Work that must not grow faster than the tables: partial sums, repeated runs, repeated dimensions."""
 
+import pytest
 from conftest import DATA
 from touchline.plans import gold
 from touchline.session import configure
-from touchline.workload import table_queries
+from touchline.workload import gold_queries, table_queries
 from touchline.workload.numeric import exact_sum
 
 
@@ -30,5 +31,11 @@ def _dimensions(spark, monkeypatch, run, module=gold):
     return given
 
 
+@pytest.mark.parametrize("query", ["fact_matches"])
+def test_dimensions_of_known_size(spark, monkeypatch, query):
+    given = _dimensions(spark, monkeypatch, getattr(gold_queries, query))
+    assert given and all("Aggregate" not in plan and "Join" not in plan for plan, _ in given)
+
+
 def test_pairs_about_as_many_as_lines_are_not_repeated(spark, monkeypatch):
     assert [salts for _, salts in _dimensions(spark, monkeypatch, table_queries.join_left_composite, table_queries)] == [1]
