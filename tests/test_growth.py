@@ -31,7 +31,7 @@ def _dimensions(spark, monkeypatch, run, module=gold):
     return given
 
 
-@pytest.mark.parametrize("query", ["fact_matches"])
+@pytest.mark.parametrize("query", ["fact_matches", "fact_attendance"])
 def test_dimensions_of_known_size(spark, monkeypatch, query):
     given = _dimensions(spark, monkeypatch, getattr(gold_queries, query))
     assert given and all("Aggregate" not in plan and "Join" not in plan for plan, _ in given)
