@@ -31,11 +31,20 @@ def _dimensions(spark, monkeypatch, run, module=gold):
     return given
 
 
-@pytest.mark.parametrize("query", ["fact_matches", "fact_attendance"])
+@pytest.mark.parametrize("query", ["fact_matches", "fact_attendance", "bigtable"])
 def test_dimensions_of_known_size(spark, monkeypatch, query):
     given = _dimensions(spark, monkeypatch, getattr(gold_queries, query))
     assert given and all("Aggregate" not in plan and "Join" not in plan for plan, _ in given)
 
 
+def test_lines_are_summed_once_for_wide_tables(spark, monkeypatch):
+    made = []
+    inner = gold_queries.frames._line_stats
+    monkeypatch.setattr(gold_queries.frames, "_line_stats", lambda *a: made.append(a) or inner(*a))
+    for query in (gold_queries.bigtable, gold_queries.kpis_asof):
+        query(configure(spark), DATA)
+    assert len(made) == 2
+
+
 def test_pairs_about_as_many_as_lines_are_not_repeated(spark, monkeypatch):
     assert [salts for _, salts in _dimensions(spark, monkeypatch, table_queries.join_left_composite, table_queries)] == [1]
