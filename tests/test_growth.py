@@ -2,6 +2,9 @@
 
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
+
+from touchline.operators.asof import asof_join
 from touchline.plans import gold
 from touchline.session import configure
 from touchline.workload import gold_queries, table_queries
@@ -46,5 +49,20 @@ def test_lines_are_summed_once_for_wide_tables(spark, monkeypatch):
     assert len(made) == 2
 
 
+def test_asof_runs_what_gives_the_rows_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([("a", 1), ("a", 3), (None, 2), ("b", None)], "k string, at int").mapInPandas(seen, "k string, at int")
+    records = spark.createDataFrame([("a", 2, 5)], "k string, since int, v int")
+    out = asof_join(rows, records, ["k"], "at", "since").select("k", "at", "v")
+    assert sorted(map(tuple, out.collect()), key=repr) == [("a", 1, None), ("a", 3, 5), ("b", None, None), (None, 2, None)]
+    assert runs.value == 4
+
+
 def test_pairs_about_as_many_as_lines_are_not_repeated(spark, monkeypatch):
     assert [salts for _, salts in _dimensions(spark, monkeypatch, table_queries.join_left_composite, table_queries)] == [1]

@@ -40,7 +40,9 @@ def asof_join(rows: DataFrame, records: DataFrame, key: Sequence[str], at: str,
     right = records.where(_all_there([*keys, since])).select(
         *keys, F.col(since).alias("_at"), F.lit(0).alias("_kind"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), record.alias("_record"))
     whole = _all_there([*keys, "_at"])
-    line = stored(left.where(whole).unionByName(right), "asof_line", made)
+    # rows without a record are stored along, so that what gives ``rows`` is run once
+    laid = stored(left.unionByName(right), "asof_line", made)
+    line = laid.where(whole)
     large = line.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > range_rows).limit(1).count() > 0
     ranged = _ranges(line, keys, range_rows) if large else line.withColumn("_range", F.lit(0))
     same = [*keys, "_range"]
@@ -54,7 +56,7 @@ def asof_join(rows: DataFrame, records: DataFrame, key: Sequence[str], at: str,
         found = found.join(ranges.select(*same, F.max("_last").over(starts).alias("_before")), same, "left")
         found = found.withColumn("_own", F.coalesce("_own", "_before"))
     found = found.select("_row", F.col("_own").alias("_record"))
-    without = left.where(~whole).select("_row", "_record")
+    without = laid.where(~whole).select("_row", "_record")
     out = [F.col(f"_row.{c}").alias(c) for c in rows.columns] + [F.col(f"_record.{c}").alias(c) for c in taken]
     return found.unionByName(without).select(*out)
 
