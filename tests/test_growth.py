@@ -2,11 +2,11 @@
 
 import pytest
 from conftest import DATA
-from pyspark.sql import functions as F
 
 from touchline.operators.asof import asof_join
 from touchline.plans import gold
 from touchline.session import configure
+from touchline.sources.files import read_documents, remove_in_tasks
 from touchline.workload import gold_queries, table_queries
 from touchline.workload.numeric import exact_sum
 
@@ -66,3 +66,15 @@ def test_asof_runs_what_gives_the_rows_once(spark):
 
 def test_pairs_about_as_many_as_lines_are_not_repeated(spark, monkeypatch):
     assert [salts for _, salts in _dimensions(spark, monkeypatch, table_queries.join_left_composite, table_queries)] == [1]
+
+
+def test_documents_are_listed_and_read_by_tasks(spark, tmp_path):
+    for name, body in {"a/1.txt": b"x\r\ny \xc3\xa9", "a/2.md": b"no", "a/.3.txt": b"no", "_b/4.txt": b"no", "_c=1/5.txt": b"yes", "6.txt": b""}.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(body)
+    made = []
+    out = read_documents(spark, str(tmp_path / "in"), made=made)
+    assert dict(map(tuple, out.collect())) == {"a/1.txt": "x\r\ny é", "_c=1/5.txt": "yes"}
+    assert "FileScan text" not in out._jdf.queryExecution().executedPlan().toString() and made
+    remove_in_tasks(spark, str(tmp_path / "in"))
+    assert not (tmp_path / "in").exists()

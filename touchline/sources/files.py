@@ -86,6 +86,26 @@ def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def remove_in_tasks(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that a job made for itself; what its own folders hold is deleted by tasks."""
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, _ = _open(folder)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                filesystem.delete_dir_contents(path)
+            yield batch
+
+    from pyarrow import fs
+
+    filesystem, root = _open(folder)
+    inside = [(i.path,) for i in filesystem.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.Directory]
+    if inside:
+        spark.createDataFrame(inside, "path string").repartition(min(len(inside), 4 * spark.sparkContext.defaultParallelism)).mapInArrow(
+            remove, "path string").write.format("noop").mode("overwrite").save()
+    remove_folders(spark, [folder])
+
+
 def relative_path(path: Column, folder: str) -> Column:
     """``path`` below ``folder``, whatever scheme prefix the listing carries."""
     bare = re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", folder).rstrip("/")
@@ -121,23 +141,43 @@ def done_message(spark: SparkSession, ts_ms: int) -> DataFrame:
     return spark.range(1).select(F.lit(None).cast("string").alias("key"), row.alias("value"))
 
 
-def read_documents(spark: SparkSession, folder: str, extension: str = "txt") -> DataFrame:
+#: Files that one task reads, and bytes sent on at once.
+READ_FILES, READ_BYTES = 2_000, 8_000_000
+
+
+def read_documents(spark: SparkSession, folder: str, extension: str = "txt", made: list[str] | None = None) -> DataFrame:
     """Text documents below ``folder``: doc_id (relative path) and whole text.
 
-    Files that cannot be read are skipped.
+    Files that cannot be read are skipped, as are empty and hidden ones. Folders are listed and files opened by tasks, so that
+    no number of files burdens the driver; the listing is kept in scratch folders, which are added to ``made``.
     """
-    texts = (
-        spark.read.option("pathGlobFilter", f"*.{extension}")
-        .option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", True)
-        .text(folder, wholetext=True)
-    )
-    # The metadata path is percent-encoded, but keeps a plus sign as it is.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return texts.select(
-        relative_path(path, folder).alias("doc_id"),
-        F.col("value").alias("text"),
-    )
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, root = _open(folder)
+        out, size = ([], []), 0
+        rows = lambda: pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.binary())], ["doc_id", "content"])
+        for batch in batches:
+            for rel in batch.column(0).to_pylist():
+                try:
+                    with filesystem.open_input_stream(posixpath.join(root, rel), compression=None) as file:
+                        body = file.read()
+                except FileNotFoundError:
+                    raise
+                except OSError:
+                    continue
+                out[0].append(rel)
+                out[1].append(body)
+                size += len(body)
+                if size > READ_BYTES:
+                    yield rows()
+                    out, size = ([], []), 0
+        yield rows()
+
+    shown = ~F.col("rel_path").rlike(r"(^|/)(\.|_[^=/]*(/|$))|\._COPYING_$")  # as Spark's readers have it
+    listed = list_files(spark, folder, made=made).where(F.col("filename").endswith(f".{extension}") & (F.col("length") > 0) & shown)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-listed.count() // READ_FILES))
+    read = listed.select("rel_path").repartition(tasks, "rel_path").mapInArrow(bodies, "doc_id string, content binary")
+    return read.select("doc_id", F.col("content").cast("string").alias("text"))
 
 
 def land_files(files: DataFrame, target: str) -> DataFrame:
@@ -150,12 +190,17 @@ def land_files(files: DataFrame, target: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(target)
+        ready: set[str] = set()
         for batch in batches:
             sizes, landed = [], []
             for rel, body in zip(*(c.to_pylist() for c in batch.columns)):
                 safe = _inside(rel)
                 if safe:
-                    _replace(fs, posixpath.join(root, rel), body)
+                    path = posixpath.join(root, rel)
+                    if posixpath.dirname(path) not in ready:
+                        fs.create_dir(posixpath.dirname(path), recursive=True)
+                        ready.add(posixpath.dirname(path))
+                    _replace(fs, path, body)
                 sizes.append(len(body))
                 landed.append(safe)
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(landed, pa.bool_())]
@@ -211,7 +256,6 @@ def _inside(rel: str) -> bool:
 def _replace(fs, path: str, body: bytes) -> None:
     import uuid
 
-    fs.create_dir(posixpath.dirname(path), recursive=True)
     draft = f"{posixpath.dirname(path)}/.{posixpath.basename(path)}.{uuid.uuid4().hex}"
     with fs.open_output_stream(draft) as out:
         out.write(body)

@@ -22,6 +22,8 @@ from touchline.workload.numeric import exact_sum
 from touchline.workload.registry import query
 from touchline.workload.tables import SCHEMAS, read_spread, read_table
 
+#: Folders that the documents of ``load_docs`` are dealt to.
+SHELVES = 64
 REGION_SCHEMA = "r_regionkey INT, r_name STRING"
 
 
@@ -67,15 +69,19 @@ def load_docs(spark, sf):
     """Documents written as text files in folders and loaded again by their extension; other files are passed over."""
     folder = scratch_path(spark, "text_files")
     docs = read_spread(spark, sf, "documents", "doc_id")
-    name = F.concat_ws("/", "source", F.col("doc_id").cast("string"))
+    # dealt to shelves, so that no folder holds too large a part of the files for one task to list
+    shelf = F.pmod(F.xxhash64("doc_id"), F.lit(SHELVES)).cast("string")
+    name = F.concat_ws("/", shelf, "source", F.col("doc_id").cast("string"))
     bodies = docs.select(name.alias("name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
     for extension in ("txt", "md"):
         named = bodies.select(F.concat("name", F.lit(f".{extension}")).alias("rel_path"), "content")
         files.land_files(named, folder).write.format("noop").mode("overwrite").save()
-    loaded = files.read_documents(spark, folder).select(
-        F.regexp_replace("doc_id", r"\.txt$", "").alias("doc_id"), F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+    made: list[str] = []
+    loaded = files.read_documents(spark, folder, made=made).select(
+        F.regexp_replace("doc_id", r"^[0-9]+/|\.txt$", "").alias("doc_id"), F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("digest"))
     out = stored(loaded, "loaded_documents")
-    files.remove_folders(spark, [folder])
+    files.remove_in_tasks(spark, folder)
+    files.remove_folders(spark, made)
     return out
 
 
