@@ -4,6 +4,8 @@ import pytest
 from conftest import DATA
 
 from touchline.operators.asof import asof_join
+from touchline.operators.neighbours import nearest
+from touchline.operators.retrieval import retrieve
 from touchline.plans import gold
 from touchline.session import configure
 from touchline.sources.files import read_documents, remove_in_tasks
@@ -78,3 +80,16 @@ def test_documents_are_listed_and_read_by_tasks(spark, tmp_path):
     assert "FileScan text" not in out._jdf.queryExecution().executedPlan().toString() and made
     remove_in_tasks(spark, str(tmp_path / "in"))
     assert not (tmp_path / "in").exists()
+
+
+def test_chunk_vectors_are_computed_once(spark):
+    chunks = spark.createDataFrame([(1, 0, "one two"), (2, 0, "three")], "doc_id long, seq int, chunk string")
+    out = retrieve(chunks, spark.createDataFrame([(7, "three two")], "item_id long, text string"))
+    assert sorted((r["doc_id"], r["rank"]) for r in out.collect()) == [(1, 2), (2, 1)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_corpus_rows_without_vector_are_near_nothing(spark):
+    corpus = spark.createDataFrame([(1, [1.0]), (2, None), (3, [2.0])], "id long, vector array<float>")
+    found = nearest(corpus, spark.createDataFrame([(9, [2.0])], "q long, vector array<float>"), ["id"], ["q"])
+    assert sorted((r["id"], r["rank"]) for r in found.collect()) == [(1, 2), (3, 1)]

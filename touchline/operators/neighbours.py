@@ -43,7 +43,8 @@ def nearest(
     vector, on either side, are near nothing.
     """
     qid, cid = list(question_id), list(corpus_id)
-    corpus = corpus.where(F.col(vector).isNotNull()).select(*cid, F.col(vector).alias("_cv"))
+    # No filter on the corpus: a condition on a column that Python computes would make Spark compute it twice.
+    corpus = corpus.select(*cid, F.col(vector).alias("_cv"))
     questions = questions.where(F.col(vector).isNotNull()).select(*qid, F.col(vector).alias("_qv"))
     schema = ", ".join(
         [f"{c} {questions.schema[c].dataType.simpleString()}" for c in qid]
@@ -66,7 +67,7 @@ def _scan_corpus(corpus, head, qid, cid, k, metric, schema) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = Best(shared.value, qid, cid, k, metric)
         for batch in batches:
-            best.add(batch)
+            best.add(batch[batch["_cv"].notna()])
         yield best.rows()
 
     return corpus.mapInPandas(run, schema)
