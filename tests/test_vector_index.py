@@ -80,3 +80,22 @@ def test_empty_sides(spark, tmp_path):
     assert vector_index.search(index, some.withColumnRenamed("id", "q"), ["q"], 5).count() == 9
     empty = vector_index.build_index(none, str(tmp_path / "b"), ["id"])
     assert vector_index.search(empty, some.withColumnRenamed("id", "q"), ["q"]).count() == 0
+
+
+def test_few_rows_meet_many_questions_at_once(spark, tmp_path):
+    from pyspark.accumulators import AccumulatorParam
+
+    class Calls(AccumulatorParam):
+        def zero(self, value):
+            return (0, 0)
+
+        def addInPlace(self, a, b):  # noqa: N802
+            calls, pairs = b if isinstance(b, tuple) else (1, b)
+            return (a[0] + calls, a[1] + pairs)
+
+    corpus, asked = clustered(6, 100), clustered(6, 600)
+    index = vector_index.build_index(frame(spark, corpus), str(tmp_path / "i"), ["id"], cells=1)
+    measured = spark.sparkContext.accumulator((0, 0), Calls())
+    found = vector_index.search(index, frame(spark, asked).withColumnRenamed("id", "q"), ["q"], 4, measured=measured)
+    assert {(r["q"], r["id"], r["rank"]) for r in found.collect()} == brute(corpus, asked, 4, "l2")
+    assert measured.value[0] <= 4

@@ -36,8 +36,9 @@ SAMPLE, PASSES = 20_000, 10
 MOST_CELLS = 4_096
 #: Rows of a cell, and questions, that meet in one task.
 SHARE_ROWS, SHARE_QUESTIONS = 50_000, 2_000
-#: Questions of like distance to a centre that share a window of its rows.
-BESIDE = 64
+#: Questions of like distance to a centre that share a window of its rows; more of them, up to so many pairs with the
+#: rows of a share, where few rows make the calls dearer than the pairs.
+BESIDE, PAIRS_AT_ONCE = 64, 1_000_000
 #: So many times more cells are visited after each round.
 GROWTH = 4
 #: Vectors without length have cosine 0 to all, so they are kept apart in a cell of their own.
@@ -234,8 +235,9 @@ def _measure(index: VectorIndex, visits: DataFrame, per_cell: dict[int, int], qi
         have, want = have.sort_values("r", ignore_index=True), want.sort_values("_apart", ignore_index=True)
         have = have.rename(columns={"vector": "_cv"})
         out = [pd.DataFrame({c: [] for c in [*qid, *cid, "distance"]})]
-        for start in range(0, len(want) if len(have) else 0, BESIDE):
-            some = want.iloc[start:start + BESIDE].reset_index(drop=True)
+        beside = max(BESIDE, PAIRS_AT_ONCE // max(1, len(have)))
+        for start in range(0, len(want) if len(have) else 0, beside):
+            some = want.iloc[start:start + beside].reset_index(drop=True)
             rows = have.iloc[_window(have["r"].to_numpy(), some, metric)]
             if measured is not None:
                 measured.add(len(rows) * len(some))
