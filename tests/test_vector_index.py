@@ -99,3 +99,28 @@ def test_few_rows_meet_many_questions_at_once(spark, tmp_path):
     found = vector_index.search(index, frame(spark, asked).withColumnRenamed("id", "q"), ["q"], 4, measured=measured)
     assert {(r["q"], r["id"], r["rank"]) for r in found.collect()} == brute(corpus, asked, 4, "l2")
     assert measured.value[0] <= 4
+
+
+def test_a_question_is_sent_to_regions_not_to_cells(spark, tmp_path):
+    corpus = np.random.default_rng(7).standard_normal((900, 16)).astype(np.float32)  # no clusters: all cells are visited
+    given = frame(spark, corpus)
+    index = vector_index.build_index(given, str(tmp_path / "i"), ["id"], cells=30, share_rows=300)
+    regions = index.cells.groupby("region")["n"].sum()
+    assert len(index.cells) > 20 and 3 <= len(regions) <= 8 and regions.max() <= 300
+    going = given.selectExpr("id as q", "vector as _qv", "double('inf') as _limit")
+    sent = vector_index._visits(index, going, 4, 2, None, ["q long", "_qv array<float>"])
+    assert sent.count() <= 900 * len(regions)
+    assert dict(sent.dtypes)["_qv"] == "array<float>"
+
+
+@pytest.mark.parametrize("scale", [1e-9, 1.0, 1e20])
+def test_sizes_of_vectors_and_equal_vectors(spark, tmp_path, scale):
+    corpus = clustered(8, 300).astype(float) * scale
+    corpus[50:200] = corpus[50]
+    schema = "id long, vector array<double>"
+    given = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], schema).repartition(4)
+    index = vector_index.build_index(given, str(tmp_path / "i"), ["id"], share_rows=100)
+    found = vector_index.search(index, given.withColumnRenamed("id", "q"), ["q"], 4).collect()
+    d = (((corpus[:, None] - corpus[None]) / scale) ** 2).sum(2)
+    want = {(i, int(j), r) for i in range(300) for r, j in enumerate(np.lexsort((np.arange(300), np.round(d[i], 9)))[:4], 1)}
+    assert {(r["q"], r["id"], r["rank"]) for r in found} == want
