@@ -2,9 +2,15 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  (registers the queries)
+from touchline.operators import lookup
 from touchline.operators.asof import asof_join
+from touchline.plans import gold
+from touchline.workload.registry import QUERIES
+from touchline.workload.tables import SCHEMAS
 
 START = datetime(2024, 1, 1)
 
@@ -58,3 +64,29 @@ def test_empty_sides(spark):
     right = spark.createDataFrame([], "k string, since timestamp, v double")
     assert [tuple(r) for r in asof_join(left, right, ["k"], "at", "since").collect()] == [(1, "a", START, None, None)]
     assert asof_join(left.where("false"), right, ["k"], "at", "since").count() == 0
+
+
+def test_kpis_asof_broadcasts_no_table_of_many_rows(spark, monkeypatch, tmp_path):
+    day = [datetime(2024, 1, 1) + timedelta(days=i) for i in range(60)]
+    tables = {
+        "nation": [(0, "N", 0)],
+        "supplier": [(i, f"S{i}", 0, 1.0) for i in range(3)],
+        "part": [(i, f"p{i}", f"b{i}", f"t{i}", 1, 1.0) for i in range(40)],
+        "orders": [(i, i, "F", 1.0, day[i], "1-URGENT") for i in range(60)],
+        "lineitem": [(i, i % 40, (i + j) % 3, j, 1.0, 2.0, 0.5, 0.1, "A", "F", day[i]) for i in range(60) for j in (1, 2)],
+    }
+    for name, given in tables.items():
+        spark.createDataFrame(given, SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    want = rows(QUERIES["kpis_asof"](spark, str(tmp_path)))
+    monkeypatch.setattr(lookup, "MOST_BROADCAST_ROWS", 20)
+    plans, made = [], gold.bigtable_asof
+
+    def seen(matches, attendance, kpis, *more):
+        plans.append(gold._with_attendance(matches, attendance)._jdf.queryExecution().executedPlan().toString())
+        return made(matches, attendance, kpis, *more)
+
+    monkeypatch.setattr(gold, "bigtable_asof", seen)
+    assert rows(QUERIES["kpis_asof"](spark, str(tmp_path))) == want and len(want) == 60
+    # orders to lines and matches to attendance; the teams stay small
+    assert plans[0].count("SortMergeJoin") == 2
+    assert lookup.bounded(spark.range(20)).join(spark.range(30), "id")._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 1
